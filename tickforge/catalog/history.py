@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickforge.catalog import query
-from tickforge.catalog.silver import EPISODES_SQL, SENSOR_VIEW, SILVER_SQL, events, r6, silver, us
+from tickforge.catalog.silver import EPISODES_SQL, SENSOR_VIEW, SILVER_SQL, events, mean6, r6, silver, us
 from tickforge.operators.cleaning import fill_gaps, flag_stuck, remove_spikes
 from tickforge.operators.episodes import alert_and_maintenance_episodes, build_episodes, sector_history, split_by_prefix
 from tickforge.operators.features import (
@@ -156,8 +156,8 @@ def gap_interpolation(spark, folder):
 
 def trend_columns(c: str) -> str:
     frame = 'OVER (PARTITION BY machine_id ORDER BY "timestamp" ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)'
-    return f"""round(CASE WHEN count({c}) {frame} >= 10 THEN avg({c}) {frame} END, 6) AS {c}_moy_glissante,
-  round(CASE WHEN count({c}) {frame} >= 10 THEN stddev_samp({c}) {frame} END, 6) AS {c}_std_glissante"""
+    return f"""round(CASE WHEN count({c}) {frame} >= 10 THEN avg({c}) {frame} END + 1e-9, 6) AS {c}_moy_glissante,
+  round(CASE WHEN count({c}) {frame} >= 10 THEN stddev_samp({c}) {frame} END + 1e-9, 6) AS {c}_std_glissante"""
 
 
 @query(
@@ -167,7 +167,7 @@ def trend_columns(c: str) -> str:
 def rolling_stats(spark, folder):
     names = ["iot_vitesse_rotation", "iot_pression_hydraulique"]
     df = trends(line(spark, folder, *names), names).df
-    return df.select("event_id", *[r6(f"{c}_{s}_glissante") for c in names for s in ("moy", "std")])
+    return df.select("event_id", *[mean6(f"{c}_{s}_glissante") for c in names for s in ("moy", "std")])
 
 
 @query(
@@ -335,12 +335,14 @@ k{i} AS (SELECT * EXCLUDE (kpos, kprev, krun), CASE WHEN count(*) OVER (PARTITIO
 def feature_frame(spark, folder):
     df = feature_rows(spark, folder)
     flags = [c for c in df.columns if c.endswith(("_suspect", "_etait_manquant"))]
-    doubles = SENSOR_VIEW + [c for c in df.columns if c.endswith("_glissante") or c.startswith("ecart_")]
+    means = [c for c in df.columns if c.endswith("_glissante")]
+    doubles = SENSOR_VIEW + [c for c in df.columns if c.startswith("ecart_")]
     return df.select(
         "event_id",
         "type_censure_futur_audit",
         *flags,
         *[r6(c) for c in doubles],
+        *[mean6(c) for c in means],
         r6("jours_depuis_dernier_arret"),
         "pieces_depuis_dernier_arret",
         "signalement_recent_24h",

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickforge.functions.timeexpr import days_between, epoch_us
+from tickforge.functions.timeexpr import epoch_us
 from tickforge.session import use_utc
 
 SENSOR_VIEW = [
@@ -43,59 +43,50 @@ def r6(column: Column | str, name: str | None = None) -> Column:
     return out.alias(name or column) if name or isinstance(column, str) else out
 
 
+def mean6(column: str) -> Column:
+    """Six digits of a mean. Means of two-digit readings often end exactly half-way; the
+    small shift rounds those the same way in both engines."""
+    return F.round(F.col(column) + F.lit(1e-9), 6).alias(column)
+
+
 def silver(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (machine_id, timestamp) with readings, labels and nominal values."""
     return silver_of(events(spark, folder))
 
 
 def silver_of(rows: DataFrame) -> DataFrame:
-    k, e, v = F.col("k"), F.col("event_id"), F.col("value")
-    kind = F.col("event_type")
-    df = rows.withColumn("k", prop_k())
-    odd = k % 2 == 1
-    status = (
-        F.when(kind == "error", "Panne")
-        .when(kind == "signup", "Maintenance")
-        .when(e % 37 == 0, "Arrêt Opérateur")
-        .when(e % 41 != 0, "Production")
-    )
-    label = (
-        F.when(kind == "error", F.when(odd, "Alerte_P5").otherwise("Alerte_P4"))
-        .when(kind == "signup", F.when(odd, "Maintenance_Correctif_P8").otherwise("Maintenance_Preventif_PLANIFIEE"))
-        .when(e % 43 != 0, "Sain")
-    )
-    metal = F.when(k % 3 == 0, "Acier").when(k % 3 == 1, "Alu").otherwise("Cuivre")
-    machine_type = F.when(F.col("user_id") % 3 == 0, "Presse").when(F.col("user_id") % 3 == 1, "Fraiseuse").otherwise("Tour")
-    regime = (
-        F.when(k % 4 == 0, "Cadence_Nominale").when(k % 4 == 1, "Sur_Charge").when(k % 4 == 2, "Sous_Charge").otherwise("Repos_Hebdo")
-    )
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return df.select(
+    numbered = rows.withColumn("k", prop_k())
+    return numbered.selectExpr(
         "event_id",
-        F.col("ts").alias("timestamp"),
-        F.concat(F.lit("MCH-"), F.col("user_id").cast("string")).alias("machine_id"),
-        machine_type.alias("type_machine"),
-        F.when(k < 50, "Atelier_A").otherwise("Atelier_B").alias("secteur"),
-        metal.alias("type_metal"),
-        F.when(k % 7 == 0, 0.0).otherwise((k % 5 + 1) * 10.0).alias("vitesse_rotation_nominal"),
-        F.lit(20.0).alias("courant_moteur_nominal"),
-        F.lit(50.0).alias("pression_hydraulique_nominal"),
-        F.when(k % 10 == 0, "Arrêt Opérateur").otherwise("Production").alias("statut_nominal"),
-        (F.lit(40.0) + k % 3).alias("temp_base_moteur"),
-        regime.alias("regime_cadence"),
-        F.when(k % 4 == 1, 1.5).when(k % 4 == 2, 0.5).otherwise(1.0).alias("facteur_cadence"),
-        status.alias("iot_statut_machine"),
-        label.alias("label_gmao"),
-        F.when(e % 50 != 0, v).alias("iot_vitesse_rotation"),
-        F.when(e % 31 != 0, F.floor(v / 50).cast("double")).alias("iot_courant_moteur"),
-        (v * 2 + k).alias("iot_pression_hydraulique"),
-        (F.lit(40.0) + k / 10.0).alias("iot_temperature"),
-        F.when(e % 29 >= 9, v / 5).alias("iot_vibration_peak"),
-        k.cast("double").alias("iot_charge_moteur"),
-        (F.col("user_id") + days_between(F.col("ts"), start)).alias("age_jours"),
-        (F.lit(10.0) + k % 5).alias("temps_cycle_sec"),
-        (k % 4).cast("long").alias("nb_pieces_intervalle"),
-        F.when(e % 19 == 0, "bruit").alias("observation_operateur"),
+        "ts AS timestamp",
+        "concat('MCH-', user_id) AS machine_id",
+        "CASE user_id % 3 WHEN 0 THEN 'Presse' WHEN 1 THEN 'Fraiseuse' ELSE 'Tour' END AS type_machine",
+        "if(k < 50, 'Atelier_A', 'Atelier_B') AS secteur",
+        "CASE k % 3 WHEN 0 THEN 'Acier' WHEN 1 THEN 'Alu' ELSE 'Cuivre' END AS type_metal",
+        "if(k % 7 = 0, 0D, (k % 5 + 1) * 10D) AS vitesse_rotation_nominal",
+        "20D AS courant_moteur_nominal",
+        "50D AS pression_hydraulique_nominal",
+        "if(k % 10 = 0, 'Arrêt Opérateur', 'Production') AS statut_nominal",
+        "40D + k % 3 AS temp_base_moteur",
+        """CASE k % 4 WHEN 0 THEN 'Cadence_Nominale' WHEN 1 THEN 'Sur_Charge' WHEN 2 THEN 'Sous_Charge'
+             ELSE 'Repos_Hebdo' END AS regime_cadence""",
+        "CASE k % 4 WHEN 1 THEN 1.5D WHEN 2 THEN 0.5D ELSE 1D END AS facteur_cadence",
+        """CASE WHEN event_type = 'error' THEN 'Panne' WHEN event_type = 'signup' THEN 'Maintenance'
+             WHEN event_id % 37 = 0 THEN 'Arrêt Opérateur' WHEN event_id % 41 <> 0 THEN 'Production' END AS iot_statut_machine""",
+        """CASE WHEN event_type = 'error' THEN if(k % 2 = 1, 'Alerte_P5', 'Alerte_P4')
+             WHEN event_type = 'signup' THEN if(k % 2 = 1, 'Maintenance_Correctif_P8', 'Maintenance_Preventif_PLANIFIEE')
+             WHEN event_id % 43 <> 0 THEN 'Sain' END AS label_gmao""",
+        "if(event_id % 50 <> 0, value, null) AS iot_vitesse_rotation",
+        "if(event_id % 31 <> 0, double(floor(value / 50)), null) AS iot_courant_moteur",
+        "value * 2 + k AS iot_pression_hydraulique",
+        "40D + k / 10D AS iot_temperature",
+        "if(event_id % 29 >= 9, value / 5, null) AS iot_vibration_peak",
+        "double(k) AS iot_charge_moteur",
+        """user_id + (unix_micros(cast(ts AS timestamp)) - unix_micros(cast(timestamp_ntz'2024-01-01' AS timestamp))) / 86400e6D
+             AS age_jours""",
+        "10D + k % 5 AS temps_cycle_sec",
+        "bigint(k % 4) AS nb_pieces_intervalle",
+        "if(event_id % 19 = 0, 'bruit', null) AS observation_operateur",
     )
 
 

@@ -37,16 +37,21 @@ def _axis_number(df: DataFrame, axis: str) -> Column:
 
 
 def surely_small(df: DataFrame, block_rows: int) -> bool:
-    """True when Spark's own size estimate leaves no room for ``block_rows`` rows.
+    """True when the scanned tables leave no room for ``block_rows`` rows.
 
-    A row with a distinct timestamp takes more than four bytes in any file, so the
-    exact counts below are only skipped for inputs of a few megabytes.
+    Sums Spark's size of each table the plan reads, once per table: joins here add
+    columns, not rows, so output estimates (products of sizes) would say nothing. A row
+    with a distinct timestamp takes more than four bytes in any file. A wrong answer
+    only costs a larger task, never a result.
     """
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size.toString()) <= 4 * block_rows
-    except AttributeError:  # no JVM plan at hand (remote session)
+    if not hasattr(df, "_jdf"):  # remote session: no plan at hand
         return False
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = {}
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        sizes[leaf.semanticHash()] = int(str(leaf.stats().sizeInBytes()))
+    return sum(sizes.values()) <= 4 * block_rows
 
 
 def plan_cells(df: DataFrame, keys: list[str], axis: str, block_rows: int) -> list[tuple]:

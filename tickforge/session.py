@@ -14,6 +14,8 @@ def build_session(app: str = "tickforge", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Call sites cost several round trips to the JVM per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
