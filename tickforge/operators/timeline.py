@@ -257,11 +257,11 @@ class Timeline:
         after = max(a for _, _, a in values.values())
         # Equal blocks by row position; a row near a border is copied to the neighbour.
         size = max(self.block_rows, before + after + 1)
-        numbered = self.position("_pos")
-        at = F.col("_pos") - 1
+        numbered = self.position("_fpos")
+        at = F.col("_fpos") - 1
         home = F.floor(at / size)
         homes = F.array(home, F.floor((at - after) / size), F.floor((at + before) / size))
         copies = numbered._df.withColumn("_home", home).withColumn("_part", F.explode(F.array_distinct(homes)))
-        window = Window.partitionBy(*self.keys, "_part").orderBy("_pos")
+        window = Window.partitionBy(*self.keys, "_part").orderBy("_fpos")
         df = copies.withColumns({n: agg.over(window.rowsBetween(-b, a)) for n, (agg, b, a) in values.items()})
-        return self._with(df.filter(F.col("_part") == F.col("_home")).drop("_pos", "_home", "_part"))
+        return self._with(df.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))

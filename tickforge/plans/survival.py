@@ -13,7 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickforge.operators.timeline import Timeline
+from tickforge.operators.ordering import SMALL_ROWS
+from tickforge.operators.timeline import Timeline, surely_small
 
 GRID_DAYS = 0.1
 
@@ -346,12 +347,19 @@ def mean_auc(auc: DataFrame, test: DataFrame, time: str, event: str) -> DataFram
 def mutual_information(df: DataFrame, features: list[str], target: str, bins: int = 16) -> DataFrame:
     """(feature, mi): information shared with the target after binning both by quantile.
 
-    Cut points come from one pass of mergeable sketches over all columns; joint counts
-    from a second one, reduced on the map side to at most bins x bins cells per feature.
+    Cut points come from one pass of mergeable sketches over all columns (exact on small
+    tables); joint counts from a second one, reduced on the map side to at most
+    bins x bins cells per feature.
     """
     names = [*features, target]
     marks = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    cuts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), marks, 10_000).alias(c) for c in names]).first()
+    exact = surely_small(df, SMALL_ROWS)
+
+    def quantiles(c: str) -> Column:
+        value = F.col(c).cast("double")
+        return F.percentile(value, marks) if exact else F.percentile_approx(value, marks, 10_000)
+
+    cuts = df.agg(*[quantiles(c).alias(c) for c in names]).first()
 
     def bin_of(c: str) -> Column:
         edges = sorted(set(cuts[c] or []))

@@ -108,11 +108,13 @@ def impute(df: DataFrame, fill: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), F.lit(v)) for c, v in fill.items()})
 
 
-def top_features(df: DataFrame, candidates: list[str], target: str, k: int = TOP_FEATURES) -> list[str]:
+def top_features(
+    df: DataFrame, candidates: list[str], target: str, k: int = TOP_FEATURES, always: list[str] = ALWAYS_KEPT
+) -> list[str]:
     """Always-kept columns first, then the ``k`` most informative ones."""
     filled = impute(df, medians(df, candidates))
     best = mutual_information(filled, candidates, target).orderBy(F.desc("mi"), "feature").limit(k).collect()
-    kept = [c for c in ALWAYS_KEPT if c in candidates] + [r["feature"] for r in best]
+    kept = [c for c in always if c in candidates] + [r["feature"] for r in best]
     return list(dict.fromkeys(kept))
 
 
@@ -171,6 +173,8 @@ def train(
     recent_days: float = RECENT_DAYS,
     alpha: float = 0.1,
     scored_rows: int | None = SCORED_ROWS,
+    categorical: list[str] = CATEGORICAL,
+    always: list[str] = ALWAYS_KEPT,
 ) -> Bundle:
     """Encode, split, keep recent rows, choose features, impute, fit and evaluate.
 
@@ -179,7 +183,7 @@ def train(
     """
     spark = features.sparkSession
     checkpoint_dir(spark)
-    categorical = [c for c in CATEGORICAL if c in features.columns]
+    categorical = [c for c in categorical if c in features.columns]
     rows = survival_rows(features).withColumn("machine_row", F.col("machine_id")).checkpoint()
     labels = category_labels(features, categorical)
     encoded = encode_categories(rows, labels)
@@ -194,7 +198,7 @@ def train(
     candidates = [c for c in numeric if known[c]]  # a column never known has no median
     if not candidates:
         raise ValueError("the training set is empty: no row has a known target")
-    kept = top_features(train_rows, candidates, "RUL_jours", top_k)
+    kept = top_features(train_rows, candidates, "RUL_jours", top_k, always)
 
     plain_train, plain_test = time_split(rows)
     plain_train = recent(plain_train)
