@@ -230,8 +230,8 @@ def weekly_regime(spark, folder):
     return joined.select("event_id", "semaine", "regime", F.coalesce(F.try_element_at(factor, "regime"), F.lit(1.0)).alias("facteur"))
 
 
-def training_inputs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, DataFrame]]:
-    """(long readings with alert ids, maintenance episodes, nominal points, lookups)."""
+def training_inputs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, DataFrame], DataFrame]:
+    """(long readings, maintenance episodes, nominal points, lookups, alert episodes)."""
     rows = silver(spark, folder)
     statuses = number_labels(rows, "iot_statut_machine")
     metals = number_labels(rows, "type_metal")
@@ -247,7 +247,7 @@ def training_inputs(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame, dic
         "regime_cadence": regimes,
         "age_machine": machine_ages(rows),
     }
-    return correlate_alerts(long, alert), maintenance.withColumnRenamed("id_machine", "machine_id"), nominal, lookups
+    return long, maintenance.withColumnRenamed("id_machine", "machine_id"), nominal, lookups, alert
 
 
 @query(

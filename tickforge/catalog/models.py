@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickforge.catalog import query
-from tickforge.catalog.history import alert_maintenance, feature_rows
+from tickforge.catalog.history import feature_rows
 from tickforge.catalog.joins import training_inputs
 from tickforge.catalog.silver import SENSOR_VIEW, SILVER_SQL, events, prop_k, r6, silver
 from tickforge.operators.features import build_features
@@ -199,8 +199,7 @@ def trained_model(spark, folder):
 
 def live_references(spark, folder, bundle=None) -> tuple[DataFrame, References]:
     """(long readings, references) for scoring the newest state of every machine."""
-    _, maintenance, nominal, lookups = training_inputs(spark, folder)
-    alert, _ = alert_maintenance(spark, folder)
+    _, maintenance, nominal, lookups, alert = training_inputs(spark, folder)
     rows = silver(spark, folder)
     coded = encode(encode(rows, lookups["production_status"], "iot_statut_machine", "id_status_production"), lookups["type_metal"], "type_metal", "id_type_metal")
     long = wide_to_long(coded, SENSOR_VIEW + PLC_READINGS)
@@ -211,8 +210,8 @@ def live_references(spark, folder, bundle=None) -> tuple[DataFrame, References]:
 def scored_machines(spark, folder):
     """Every machine's newest state scored by a model trained on the assembled history."""
     long, refs = live_references(spark, folder)
-    readings, maintenance, nominal, lookups = training_inputs(spark, folder)
-    wide = training_frame(readings, maintenance, nominal, lookups)
+    readings, maintenance, nominal, lookups, alert = training_inputs(spark, folder)
+    wide = training_frame(readings, maintenance, nominal, lookups, alert)
     refs.bundle = train(build_features(wide), top_k=6, scored_rows=None, **FLEET)
     stops = stop_status_ids(lookups["production_status"], STOP_STATUSES)
     state = machine_state(long, F.array(*[F.lit(i).cast("long") for i in stops]))

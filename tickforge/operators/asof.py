@@ -1,16 +1,87 @@
 """As-of joins: each left row meets the nearest right row of its key in time.
 
-Both sides are unioned and scanned once in time order, so the work is linear and a
-busy key is cut into blocks like any other timeline. No inequality join is planned.
+All sides are unioned and scanned once in time order, so the work is linear, one shuffle
+serves any number of right sides, and a busy key is cut into blocks like any other
+timeline. No inequality join is planned.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickforge.operators.timeline import Timeline
 
 
+@dataclass
+class Side:
+    """A right side: its rows, time column, columns to bring along and direction.
+
+    ``backward`` takes the latest row with ``on <= left time``, ``forward`` the first with
+    ``on >= left time``. Several rows at one instant: the one with the largest ``tie``
+    wins backward, the smallest forward.
+    """
+
+    rows: DataFrame
+    on: str
+    payload: list[str]
+    direction: str = "backward"
+    tie: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.direction not in ("backward", "forward"):
+            raise ValueError(f"unknown direction: {self.direction}")
+
+
+def asof_all(
+    left: DataFrame,
+    by: str,
+    left_on: str,
+    sides: list[Side],
+    key_max: str | None = None,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """Left rows with the payload columns of the nearest row of every side.
+
+    The left row count never changes. ``key_max`` adds the key's latest left time under
+    that name, from the same scan.
+    """
+    kind, instant = left.schema[by].dataType, left.schema[left_on].dataType
+    # At one instant: backward sides, then left rows, then forward sides.
+    both = left.select(
+        F.col(by).alias("_by"),
+        F.col(left_on).alias("_at"),
+        F.lit(1).alias("_side"),
+        F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
+    )
+    for i, side in enumerate(sides):
+        rights = side.rows.filter(F.col(by).isNotNull() & F.col(side.on).isNotNull()).select(
+            F.col(by).cast(kind).alias("_by"),
+            F.col(side.on).cast(instant).alias("_at"),
+            F.lit(0 if side.direction == "backward" else 2).alias("_side"),
+            (F.col(side.tie) if side.tie else F.lit(0)).alias(f"_tie{i}"),
+            F.struct(*[F.col(c) for c in side.payload]).alias(f"_right{i}"),
+        )
+        both = both.unionByName(rights, allowMissingColumns=True)
+    order = ["_at", "_side", *[f"_tie{i}" for i in range(len(sides))]]
+    line = Timeline(both, ["_by"], order, block_rows)
+    before = {f"_near{i}": F.col(f"_right{i}") for i, s in enumerate(sides) if s.direction == "backward"}
+    after = {f"_near{i}": F.col(f"_right{i}") for i, s in enumerate(sides) if s.direction == "forward"}
+    if before:
+        line = line.last_valid(before)
+    if after:
+        line = line.next_valid(after)
+    if key_max:
+        line = line.key_max({"_last": F.when(F.col("_left").isNotNull(), F.col("_at"))})
+    known = F.col("_by").isNotNull() & F.col("_at").isNotNull()
+    brought = [
+        F.when(known, F.col(f"_near{i}").getField(c)).alias(c) for i, s in enumerate(sides) for c in s.payload
+    ]
+    last = [F.col("_last").alias(key_max)] if key_max else []
+    return line.df.filter(F.col("_left").isNotNull()).select("_left.*", *brought, *last)
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -22,43 +93,21 @@ def asof_join(
     tie: str | None = None,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Left rows with the ``payload`` columns of the nearest right row.
+    """Left rows with the ``payload`` columns of the nearest right row."""
+    return asof_all(left, by, left_on, [Side(right, right_on, payload, direction, tie)], block_rows=block_rows)
 
-    ``backward`` takes the latest right row with ``right_on <= left_on``, ``forward``
-    the first with ``right_on >= left_on``. Several right rows at one instant: the one
-    with the largest ``tie`` wins backward, the smallest forward. The left row count
-    never changes. ``by`` and the time column have the same name and type on both sides
-    or are cast by the caller.
-    """
-    if direction not in ("backward", "forward"):
-        raise ValueError(f"unknown direction: {direction}")
-    backward = direction == "backward"
-    payload_struct = F.struct(*[F.col(c) for c in payload])
-    kind = left.schema[by].dataType
-    instant = left.schema[left_on].dataType
-    lefts = left.select(
-        F.col(by).alias("_by"),
-        F.col(left_on).alias("_at"),
-        F.lit(1 if backward else 0).alias("_side"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
-    )
-    tie_col = F.col(tie) if tie else F.lit(0)
-    rights = right.filter(F.col(by).isNotNull() & F.col(right_on).isNotNull()).select(
-        F.col(by).cast(kind).alias("_by"),
-        F.col(right_on).cast(instant).alias("_at"),
-        F.lit(0 if backward else 1).alias("_side"),
-        tie_col.alias("_tie"),
-        payload_struct.alias("_right"),
-    )
-    both = lefts.unionByName(rights, allowMissingColumns=True)
-    line = Timeline(both, ["_by"], ["_at", "_side", "_tie"], block_rows)
-    line = line.last_valid({"_near": F.col("_right")}) if backward else line.next_valid({"_near": F.col("_right")})
-    hit = F.col("_by").isNotNull() & F.col("_at").isNotNull()
-    return (
-        line.df.filter(F.col("_left").isNotNull())
-        .withColumn("_near", F.when(hit, F.col("_near")))
-        .select("_left.*", *[F.col("_near").getField(c).alias(c) for c in payload])
+
+def episode_side(episodes: DataFrame, by: str, start: str, end: str, id_column: str) -> Side:
+    """Episodes as a right side; turn the result into an id with ``open_id``."""
+    spans = episodes.select(
+        F.col(by), F.col(start).alias(f"_start_{id_column}"), F.col(end).alias(f"_end_{id_column}"), F.col(id_column).cast("long").alias(f"_id_{id_column}")
     )
+    return Side(spans, f"_start_{id_column}", [f"_end_{id_column}", f"_id_{id_column}"], "backward", f"_id_{id_column}")
+
+
+def open_id(at: str, id_column: str) -> Column:
+    """Id of the latest-started episode while ``start <= at < end``."""
+    return F.when(F.col(at) < F.col(f"_end_{id_column}"), F.col(f"_id_{id_column}"))
 
 
 def active_episode(
@@ -73,17 +122,10 @@ def active_episode(
 ) -> DataFrame:
     """Readings with the id of the latest-started episode while it is open.
 
-    Open means ``start <= at < end``: the instant of the end is outside. Only the
-    latest-started episode counts, so an older one still open behind a closed one is
-    not seen. Row count and columns of ``readings`` are kept.
+    The instant of the end is outside. Only the latest-started episode counts, so an
+    older one still open behind a closed one is not seen. Row count and columns of
+    ``readings`` are kept.
     """
-    spans = episodes.select(
-        F.col(by), F.col(start).alias("_start"), F.col(end).alias("_end"), F.col(id_column).cast("long").alias("_id")
-    )
-    joined = asof_join(readings, spans, by, at, "_start", ["_end", "_id"], "backward", "_id", block_rows)
-    return joined.withColumn(id_column, F.when(F.col(at) < F.col("_end"), F.col("_id"))).drop("_end", "_id")
-
-
-def active_label(alert: Column, maintenance: Column, default: str) -> Column:
-    """Alert label first, then maintenance, else the default."""
-    return F.coalesce(alert, maintenance, F.lit(default))
+    side = episode_side(episodes, by, start, end, id_column)
+    joined = asof_all(readings, by, at, [side], block_rows=block_rows)
+    return joined.withColumn(id_column, open_id(at, id_column)).drop(*side.payload)

@@ -16,13 +16,20 @@ _BRACKET = 3.0 / _SKETCH_ACCURACY
 def rank_all(df: DataFrame, column: str, name: str, small_rows: int | None = None) -> DataFrame:
     """Rank 1..n of distinct values in sort order.
 
-    Large inputs are range-partitioned and sorted; rows get (partition, place), written
-    once to the checkpoint folder so that both uses below see the same partitions even
-    when executors are lost. Counts per partition then give each partition its offset.
+    Unless the scanned tables are small, the values are first written to the checkpoint
+    folder, which shows how many there are. Many of them are range-partitioned and
+    sorted, and each row gets (partition, place), written as well so that both uses below
+    see the same partitions even when executors are lost. Counts per partition then give
+    each partition its offset.
     """
-    if surely_small(df, small_rows if small_rows is not None else SMALL_ROWS):
+    limit = small_rows if small_rows is not None else SMALL_ROWS
+    small = surely_small(df, limit)
+    if not small:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
+        small = df.count() <= limit
+    if small:
         return df.withColumn(name, F.row_number().over(Window.orderBy(column)).cast("long"))
-    checkpoint_dir(df.sparkSession)
     placed = (
         df.repartitionByRange(F.col(column))
         .sortWithinPartitions(column)

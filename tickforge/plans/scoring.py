@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickforge.functions.timeexpr import days_between
-from tickforge.operators.asof import active_episode
+from tickforge.operators.asof import asof_all, episode_side, open_id
 from tickforge.operators.features import censoring_type, deviations
 from tickforge.operators.reference import add_age, decode, decode_plc
 from tickforge.plans.survival import median_life, risk_score
@@ -59,9 +59,13 @@ def machine_context(
         df = df.withColumn("type_metal", F.coalesce(live, F.col("_nominal_metal"))).drop("_nominal_metal")
     since = F.coalesce(days_between(F.col("timestamp"), F.col("last_stop")), F.col("age_jours"))
     df = df.withColumn("jours_depuis_dernier_arret", since)
-    alert_spans = alerts.withColumnRenamed("id_machine", "machine_id")
-    df = active_episode(df, alert_spans, "machine_id", "timestamp", "debut_alerte", "fin_alerte", "id_alerte")
-    df = active_episode(df, maintenance, "machine_id", "timestamp", "debut_panne", "fin_panne", "id_panne")
+    sides = [
+        episode_side(alerts.withColumnRenamed("id_machine", "machine_id"), "machine_id", "debut_alerte", "fin_alerte", "id_alerte"),
+        episode_side(maintenance, "machine_id", "debut_panne", "fin_panne", "id_panne"),
+    ]
+    df = asof_all(df, "machine_id", "timestamp", sides)
+    df = df.withColumns({i: open_id("timestamp", i) for i in ("id_alerte", "id_panne")})
+    df = df.drop(*[c for s in sides for c in s.payload])
     df = decode(df, lookups["type_alerte"], "id_alerte", "label_gmao", "_alert")
     df = decode(df, lookups["type_maintenance"], "id_panne", "label_gmao", "_maintenance")
     label = F.when(F.col("timestamp").isNotNull(), F.coalesce("_alert", "_maintenance", F.lit(HEALTHY)))
