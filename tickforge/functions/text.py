@@ -49,13 +49,13 @@ def run_id(base_name: Column) -> Column:
 
 def run_timestamp(base_name: Column) -> Column:
     """Timestamp from a trailing ``_yyyyMMdd_HHmmss``; an error when it is absent."""
-    digits = F.regexp_extract(base_name, r"(\d{8}_\d{6})$", 1)
     problem = F.concat(F.lit("no timestamp at the end of run name: "), base_name)
-    return F.when(digits == "", F.raise_error(problem).cast("timestamp_ntz")).otherwise(
-        F.to_timestamp(digits, "yyyyMMdd_HHmmss").cast("timestamp_ntz")
-    )
+    parsed = F.try_to_timestamp(F.right(base_name, F.lit(15)), F.lit("yyyyMMdd_HHmmss"))
+    return F.coalesce(parsed, F.raise_error(problem).cast("timestamp")).cast("timestamp_ntz")
 
 
 def base_name(path: Column) -> Column:
     """File name without folder and last extension."""
-    return F.regexp_replace(F.regexp_extract(path, r"([^/]+)$", 1), r"\.[^.]*$", "")
+    name = F.substring_index(path, "/", -1)
+    extension = F.substring_index(name, ".", -1)
+    return F.when(F.contains(name, F.lit(".")), F.left(name, F.length(name) - F.length(extension) - 1)).otherwise(name)
