@@ -348,3 +348,12 @@ def test_expressions(spark):
     assert row.grid == pytest.approx(0.2)
     assert row.ns == 1722510540000000000 and row.back == dt.datetime(2024, 8, 1, 11, 9)
     assert row.name == "20260601T100000Z" and row.week == 2
+
+
+def test_labels_of_large_tables_are_broadcast(spark):
+    from tickforge.operators.reference import number_labels
+
+    df = spark.range(40).select((F.col("id") % 5).cast("string").alias("l"))
+    small, large = number_labels(df, "l"), number_labels(df, "l", small_rows=0)
+    assert rows(small) == rows(large) == [(str(i), i + 1) for i in range(5)]
+    assert "BroadcastHashJoin" in df.join(large, "l")._jdf.queryExecution().executedPlan().toString()

@@ -5,6 +5,8 @@ user = machine, event type = status and label, value and props = readings.
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickforge.functions.timeexpr import epoch_us
@@ -20,8 +22,18 @@ SENSOR_VIEW = [
 ]
 
 
+# Schemas and plans (no data) per session: the tables are read many times in one query,
+# and each read without a schema costs a job.
+_SCHEMAS: WeakKeyDictionary = WeakKeyDictionary()
+_SILVER: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    known = _SCHEMAS.setdefault(spark, {})
+    if path not in known:
+        known[path] = use_utc(spark).read.parquet(path).schema
+    return use_utc(spark).read.schema(known[path]).parquet(path)
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,7 +63,10 @@ def mean6(column: str) -> Column:
 
 def silver(spark: SparkSession, folder: str) -> DataFrame:
     """One row per (machine_id, timestamp) with readings, labels and nominal values."""
-    return silver_of(events(spark, folder))
+    plans = _SILVER.setdefault(use_utc(spark), {})
+    if folder not in plans:
+        plans[folder] = silver_of(events(spark, folder))
+    return plans[folder]
 
 
 def silver_of(rows: DataFrame) -> DataFrame:

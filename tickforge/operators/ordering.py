@@ -17,17 +17,23 @@ def rank_all(df: DataFrame, column: str, name: str, small_rows: int | None = Non
     """Rank 1..n of distinct values in sort order.
 
     Unless the scanned tables are small, the values are first written to the checkpoint
-    folder, which shows how many there are. Many of them are range-partitioned and
-    sorted, and each row gets (partition, place), written as well so that both uses below
-    see the same partitions even when executors are lost. Counts per partition then give
-    each partition its offset.
+    folder, which shows how many there are.
     """
     limit = small_rows if small_rows is not None else SMALL_ROWS
-    small = surely_small(df, limit)
-    if not small:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint()
-        small = df.count() <= limit
+    if surely_small(df, limit):
+        return rank_written(df, column, name, True)
+    checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
+    return rank_written(df, column, name, df.count() <= limit)
+
+
+def rank_written(df: DataFrame, column: str, name: str, small: bool) -> DataFrame:
+    """Ranks of values that are cheap to read again.
+
+    Many values are range-partitioned and sorted, and each row gets (partition, place),
+    written so that both uses below see the same partitions even when executors are
+    lost. Counts per partition then give each partition its offset.
+    """
     if small:
         return df.withColumn(name, F.row_number().over(Window.orderBy(column)).cast("long"))
     placed = (

@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from tickforge.functions import half_even_long, mentions
 from tickforge.functions.timeexpr import days_between
 from tickforge.operators.episodes import split_by_prefix
-from tickforge.operators.ordering import rank_all
+from tickforge.operators.ordering import SMALL_ROWS, rank_all, rank_written
 from tickforge.operators.quality import require_columns
+from tickforge.operators.timeline import surely_small
 from tickforge.schemas import HEALTHY, PLC_DECODING
+from tickforge.session import checkpoint_dir
+
+BROADCAST_ROWS = 100_000
 
 
 def unique_label_table(df: DataFrame, label: str) -> DataFrame:
@@ -24,8 +28,21 @@ def unique_label_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def number_labels(df: DataFrame, label: str, small_rows: int | None = None) -> DataFrame:
-    """As above without the checks on content."""
-    return rank_all(df.select(label).filter(F.col(label).isNotNull()).distinct(), label, "id", small_rows)
+    """As above without the checks on content.
+
+    Over large tables the labels are found once, written to the checkpoint folder and
+    counted; a table of at most ``BROADCAST_ROWS`` labels is then marked for broadcast, so
+    that joining it never shuffles the rows by label.
+    """
+    limit = small_rows if small_rows is not None else SMALL_ROWS
+    labels = df.select(label).filter(F.col(label).isNotNull()).distinct()
+    if surely_small(labels, limit):
+        return rank_written(labels, label, "id", True)
+    checkpoint_dir(df.sparkSession)
+    labels = labels.checkpoint()
+    n = labels.count()
+    ranked = rank_written(labels, label, "id", n <= limit)
+    return F.broadcast(ranked) if n <= BROADCAST_ROWS else ranked
 
 
 def drop_rows_mentioning(df: DataFrame, column: str, text: str) -> DataFrame:
