@@ -212,7 +212,8 @@ def scored_machines(spark, folder):
     long, refs = live_references(spark, folder)
     readings, maintenance, nominal, lookups, alert = training_inputs(spark, folder)
     wide = training_frame(readings, maintenance, nominal, lookups, alert)
-    refs.bundle = train(build_features(wide), top_k=6, scored_rows=None, **FLEET)
+    stored = readings.withColumnRenamed("id_machine", "machine_id")
+    refs.bundle = train(build_features(wide, plan_on=stored), top_k=6, scored_rows=None, **FLEET)
     stops = stop_status_ids(lookups["production_status"], STOP_STATUSES)
     state = machine_state(long, F.array(*[F.lit(i).cast("long") for i in stops]))
     return score_state(state, refs).drop("time")

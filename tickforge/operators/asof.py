@@ -41,11 +41,13 @@ def asof_all(
     sides: list[Side],
     key_max: str | None = None,
     block_rows: int | None = None,
+    plan_on: DataFrame | None = None,
 ) -> DataFrame:
     """Left rows with the payload columns of the nearest row of every side.
 
     The left row count never changes. ``key_max`` adds the key's latest left time under
-    that name, from the same scan.
+    that name, from the same scan. ``plan_on`` may stand in for the left rows when large
+    keys are counted; right sides are taken to be the smaller ones then.
     """
     kind, instant = left.schema[by].dataType, left.schema[left_on].dataType
     # At one instant: backward sides, then left rows, then forward sides.
@@ -65,7 +67,9 @@ def asof_all(
         )
         both = both.unionByName(rights, allowMissingColumns=True)
     order = ["_at", "_side", *[f"_tie{i}" for i in range(len(sides))]]
-    line = Timeline(both, ["_by"], order, block_rows)
+    if plan_on is not None:
+        plan_on = plan_on.select(F.col(by).cast(kind).alias("_by"), F.col(left_on).cast(instant).alias("_at"))
+    line = Timeline(both, ["_by"], order, block_rows, plan_on)
     before = {f"_near{i}": F.col(f"_right{i}") for i, s in enumerate(sides) if s.direction == "backward"}
     after = {f"_near{i}": F.col(f"_right{i}") for i, s in enumerate(sides) if s.direction == "forward"}
     if before:

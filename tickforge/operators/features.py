@@ -103,9 +103,11 @@ def build_features(
     at: str = "timestamp",
     ties: list[str] | None = None,
     block_rows: int | None = None,
+    plan_on: DataFrame | None = None,
 ) -> DataFrame:
     """All features of training rows, in one chain over one ordered history."""
-    line = Timeline(df.withColumn("type_censure", censoring_type(F.col("label_gmao"))), [machine], [at, *(ties or [])], block_rows)
+    typed = df.withColumn("type_censure", censoring_type(F.col("label_gmao")))
+    line = Timeline(typed, [machine], [at, *(ties or [])], block_rows, plan_on)
     line = future_censoring(line)  # reads stop rows that the next step may drop
     line = line.filter(is_training_row())
     line = clean_timeline(line)

@@ -116,14 +116,24 @@ def _cell_table(df: DataFrame, keys: list[str], cells: list[tuple]) -> DataFrame
 class Timeline:
     """Rows of ``df`` ordered by ``order`` (axis first, then tie-breakers) within ``keys``.
 
-    Every method returns a new timeline whose ``df`` has further columns.
+    Every method returns a new timeline whose ``df`` has further columns. ``plan_on`` is a
+    cheaper frame with the same keys and axis (such as the stored rows that a long chain
+    starts from) to count instead of ``df``; it only decides where keys are cut.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], block_rows: int | None = None):
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: list[str],
+        order: list[str],
+        block_rows: int | None = None,
+        plan_on: DataFrame | None = None,
+    ):
         self.keys = list(keys)
         self.order = list(order)
         self.block_rows = block_rows or BLOCK_ROWS
-        cells = plan_cells(df, self.keys, self.order[0], self.block_rows)
+        counted = df if plan_on is None else plan_on
+        cells = plan_cells(counted, self.keys, self.order[0], self.block_rows)
         self.split = bool(cells)
         if self.split:
             plan = F.broadcast(_cell_table(df, self.keys, cells))

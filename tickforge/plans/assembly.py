@@ -117,7 +117,9 @@ def training_frame(
         named = alerts.withColumn("machine_id", F.col("id_machine").cast("string"))
         sides.append(episode_side(named, "machine_id", "debut_alerte", "fin_alerte", "id_alerte"))
         ids.append("id_alerte")
-    df = asof_all(wide, "machine_id", "timestamp", sides, "_last_at", block_rows)
+    # Large machines are found in the stored readings, before the pivot.
+    counted = readings.withColumnRenamed("id_machine", "machine_id")
+    df = asof_all(wide, "machine_id", "timestamp", sides, "_last_at", block_rows, counted)
     df = df.withColumns({i: open_id("timestamp", i) for i in ids}).drop(*[f"_{p}_{i}" for i in ids for p in ("end", "id")])
     df = df.withColumn("RUL_jours", _remaining_days(maintenance)).drop("_next", "_last_at")
     df = decode_plc(df, lookups)
