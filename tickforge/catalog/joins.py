@@ -9,6 +9,7 @@ from tickforge.catalog.history import alert_maintenance
 from tickforge.catalog.silver import EPISODES_SQL, REFERENCES_SQL, SILVER_SQL, events, r6, silver, table, us
 from tickforge.functions.timeexpr import week_index
 from tickforge.operators.asof import asof_join
+from tickforge.operators.episodes import sector_history
 from tickforge.operators.ordering import rank_all
 from tickforge.operators.quality import constraint_report
 from tickforge.operators.reference import (
@@ -23,6 +24,7 @@ from tickforge.operators.reference import (
 )
 from tickforge.operators.reshape import wide_to_long
 from tickforge.plans.assembly import (
+    add_machine_context,
     add_maintenance_label,
     add_nominal_values,
     add_remaining_life,
@@ -30,6 +32,7 @@ from tickforge.plans.assembly import (
     nominal_for_training,
     training_frame,
 )
+from tickforge.plans.dashboards import typed_machines
 from tickforge.plans.gold import LABEL_TABLES
 from tickforge.schemas import PUBLISHED_SENSORS
 
@@ -283,6 +286,19 @@ def assembled_training_frame(spark, folder):
     )
 
 
+@query(
+    "machine_context",
+    f"WITH {SILVER_SQL} SELECT event_id, secteur, type_machine FROM silver",
+)
+def machine_context(spark, folder):
+    """Type and sector found again from the dimension and the sector history."""
+    rows = silver(spark, folder)
+    types = number_labels(rows, "type_machine")
+    wide = rows.select("event_id", "machine_id", "timestamp")
+    joined = add_machine_context(wide, typed_machines(machine_types(rows, types), types), sector_history(rows))
+    return joined.select("event_id", "secteur", "type_machine")
+
+
 @query(
     "nominal_training_bounds",
     """WITH r AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events WHERE event_type = 'click' AND user_id >= 10)

@@ -125,3 +125,18 @@ def training_frame(
     df = decode_plc(df, lookups)
     df = add_age(df, lookups["age_machine"])
     return label_from_ids(df, lookups)
+
+
+def add_machine_context(
+    wide: DataFrame, machines: DataFrame, history: DataFrame, block_rows: int | None = None
+) -> DataFrame:
+    """Optional features: machine type, and the sector the machine was in at each row.
+
+    ``machines``: id_machine, type_machine. ``history``: id_machine, secteur,
+    date_mise_en_service.
+    """
+    stays = history.select(F.col("id_machine").alias("machine_id"), "secteur", "date_mise_en_service")
+    side = Side(stays, "date_mise_en_service", ["secteur"], "backward", "secteur")
+    placed = asof_all(wide, "machine_id", "timestamp", [side], block_rows=block_rows)
+    types = machines.select(F.col("id_machine").alias("machine_id"), "type_machine")
+    return placed.join(types, "machine_id", "left")

@@ -13,8 +13,11 @@ from tickforge.operators.reshape import two_sided_rows
 def with_run(log: DataFrame, path: Column | None = None) -> DataFrame:
     """Log rows with run_name, run_id and run_ts read from their file name."""
     name = base_name(path if path is not None else F.col("_metadata.file_path"))
-    named = log.withColumn("run_name", name)
-    return named.withColumns({"run_id": run_id(F.col("run_name")), "run_ts": run_timestamp(F.col("run_name"))})
+    return _run_fields(log.withColumn("run_name", name))
+
+
+def _run_fields(df: DataFrame) -> DataFrame:
+    return df.withColumns({"run_id": run_id(F.col("run_name")), "run_ts": run_timestamp(F.col("run_name"))})
 
 
 def agents_seen(log: DataFrame) -> DataFrame:
@@ -66,17 +69,18 @@ def turn_facts(log: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def match_dimension(log: DataFrame, keys: DataFrame, sequence: Column) -> DataFrame:
-    """One row per match: agents of its last line and its largest turn."""
+    """One row per match: agents of its last line and its largest turn.
+
+    Run fields are derived after the grouping, once per match instead of once per line.
+    """
     last = F.max_by(F.struct("agent1_id", "agent2_id"), sequence)
-    matches = log.groupBy("run_id", "run_ts", "match_id").agg(
-        last.alias("_a"), F.max("turn").cast("int").alias("total_turns")
-    )
-    return _with_keys(matches.select("run_id", "run_ts", "match_id", "total_turns", "_a.*"), keys).select(
+    matches = log.groupBy("run_name", "match_id").agg(last.alias("_a"), F.max("turn").cast("int").alias("total_turns"))
+    return _with_keys(_run_fields(matches).select("run_id", "run_ts", "match_id", "total_turns", "_a.*"), keys).select(
         "run_id", "run_ts", "match_id", "agent1_key", "agent2_key", "total_turns"
     )
 
 
 def agent_dimension(log: DataFrame, keys: DataFrame) -> DataFrame:
     """Agents of each run with their keys."""
-    seen = log.select("run_id", F.explode(F.array("agent1_id", "agent2_id")).alias("agent_id")).distinct()
-    return seen.join(keys, "agent_id").select("run_id", "agent_key", "agent_id")
+    seen = log.select("run_name", F.explode(F.array("agent1_id", "agent2_id")).alias("agent_id")).distinct()
+    return _run_fields(seen).join(keys, "agent_id").select("run_id", "agent_key", "agent_id")
