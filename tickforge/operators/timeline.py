@@ -17,11 +17,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-BLOCK_ROWS = 2_000_000
+BLOCK_ROWS = 1_000_000
 # Only this many keys are planned on the driver, largest first. With N rows a key
 # left out has at most N / MAX_SPLIT_KEYS rows and simply stays whole.
 MAX_SPLIT_KEYS = 20_000
@@ -133,6 +134,7 @@ class Timeline:
         self.order = list(order)
         self.block_rows = block_rows or BLOCK_ROWS
         counted = df if plan_on is None else plan_on
+        self.small = surely_small(counted, self.block_rows)
         cells = plan_cells(counted, self.keys, self.order[0], self.block_rows)
         self.split = bool(cells)
         if self.split:
@@ -162,7 +164,8 @@ class Timeline:
 
     def _with(self, df: DataFrame) -> "Timeline":
         other = object.__new__(Timeline)
-        other.keys, other.order, other.block_rows, other.split = self.keys, self.order, self.block_rows, self.split
+        other.keys, other.order, other.block_rows = self.keys, self.order, self.block_rows
+        other.split, other.small = self.split, self.small
         other._df = df
         return other
 
@@ -265,13 +268,44 @@ class Timeline:
             )
         before = max(b for _, b, _ in values.values())
         after = max(a for _, _, a in values.values())
-        # Equal blocks by row position; a row near a border is copied to the neighbour.
+        copies = self._copies(before, after)
+        window = Window.partitionBy(*self.keys, "_part").orderBy("_fpos")
+        df = copies.withColumns({n: agg.over(window.rowsBetween(-b, a)) for n, (agg, b, a) in values.items()})
+        return self._with(df.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
+
+    def _copies(self, before: int, after: int) -> DataFrame:
+        """Rows numbered by ``_fpos`` in equal blocks ``_part`` of row positions; a row near a
+        border is copied to the neighbour, and ``_home`` is its own block."""
         size = max(self.block_rows, before + after + 1)
-        numbered = self.position("_fpos")
         at = F.col("_fpos") - 1
         home = F.floor(at / size)
         homes = F.array(home, F.floor((at - after) / size), F.floor((at + before) / size))
-        copies = numbered._df.withColumn("_home", home).withColumn("_part", F.explode(F.array_distinct(homes)))
-        window = Window.partitionBy(*self.keys, "_part").orderBy("_fpos")
-        df = copies.withColumns({n: agg.over(window.rowsBetween(-b, a)) for n, (agg, b, a) in values.items()})
-        return self._with(df.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
+        numbered = self.position("_fpos")._df
+        return numbered.withColumn("_home", home).withColumn("_part", F.explode(F.array_distinct(homes)))
+
+    def map_blocks(self, add: Callable[[pa.Table], dict], fields: list[T.StructField], reach: int) -> "Timeline":
+        """Adds columns computed by ``add`` on Arrow blocks of rows in order.
+
+        A row's values may depend on at most ``reach`` rows on either side. ``add`` sees at
+        most about ``block_rows`` rows of one key and returns one array per field.
+        """
+        if self.split:
+            df = self._copies(reach, reach)
+        else:
+            df = self.position("_fpos")._df.withColumns({"_home": F.lit(0).cast("long"), "_part": F.lit(0).cast("long")})
+        schema = T.StructType([*df.schema.fields, *fields])
+        out = df.groupBy(*self.keys, "_part").applyInArrow(_block_function(add, [f.name for f in fields]), schema)
+        return self._with(out.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
+
+
+def _block_function(add: Callable[[pa.Table], dict], names: list[str]):
+    def run(table: pa.Table) -> pa.Table:
+        place = table.column("_fpos").to_numpy()
+        if (np.diff(place) < 0).any():
+            table = table.take(np.argsort(place))
+        columns = add(table)
+        for name in names:
+            table = table.append_column(name, columns[name])
+        return table
+
+    return run

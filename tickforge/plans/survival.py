@@ -62,17 +62,13 @@ class CoxModel:
     steps: int
 
 
-def _matrix(pdf: pd.DataFrame, features: list[str]) -> np.ndarray:
-    return pdf[features].to_numpy(dtype=float)
-
-
 def _time_sums(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str):
     """Per partition and time: sum of weights and of weighted features."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
         for pdf in batches:
-            x = _matrix(pdf, features) - centre
+            x = pdf[features].to_numpy(dtype=float) - centre
             weight = np.exp(x @ beta)
             packed = np.column_stack([weight, x * weight[:, None]])
             moments, where = np.unique(pdf[time].to_numpy(), return_inverse=True)
@@ -93,7 +89,7 @@ def _gram(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str,
         p = len(features)
         total = np.zeros((p, p))
         for pdf in batches:
-            x = _matrix(pdf, features) - centre
+            x = pdf[features].to_numpy(dtype=float) - centre
             place = np.searchsorted(times, pdf[time].to_numpy(), side="right") - 1
             so_far = np.where(place >= 0, hazard[np.maximum(place, 0)], 0.0)
             total += x.T @ (x * (np.exp(x @ beta) * so_far)[:, None])
