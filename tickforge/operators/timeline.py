@@ -22,10 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tickforge.session import checkpoint_dir
+
 BLOCK_ROWS = 1_000_000
 # Only this many keys are planned on the driver, largest first. With N rows a key
 # left out has at most N / MAX_SPLIT_KEYS rows and simply stays whole.
 MAX_SPLIT_KEYS = 20_000
+# A step over cut keys reads its input twice (rows and block summaries). After this many
+# steps the rows are written to the checkpoint folder, so that a long chain grows
+# linearly instead of doubling with every step.
+STEPS_PER_CHECKPOINT = 2
 _BLOCK = "_block"
 
 
@@ -137,6 +143,7 @@ class Timeline:
         self.small = surely_small(counted, self.block_rows)
         cells = plan_cells(counted, self.keys, self.order[0], self.block_rows)
         self.split = bool(cells)
+        self._steps = 0
         if self.split:
             plan = F.broadcast(_cell_table(df, self.keys, cells))
             cell = F.floor((_axis_number(df, self.order[0]) - F.col("_lo")) / F.col("_w"))
@@ -162,13 +169,20 @@ class Timeline:
 
     # -- windows ---------------------------------------------------------------
 
-    def _with(self, df: DataFrame) -> "Timeline":
+    def _with(self, df: DataFrame, steps: int = 0) -> "Timeline":
         other = object.__new__(Timeline)
+        other._steps = self._steps + steps
         other.keys, other.order, other.block_rows = self.keys, self.order, self.block_rows
         other.split, other.small = self.split, self.small
         other._df = df
         return other
 
+    def _settled(self) -> "Timeline":
+        if self._steps < STEPS_PER_CHECKPOINT:
+            return self
+        checkpoint_dir(self._df.sparkSession)
+        return self._with(self._df.checkpoint(), -self._steps)
+
     @property
     def _cells(self) -> list[str]:
         return self.keys + ([_BLOCK] if self.split else [])
@@ -196,16 +210,17 @@ class Timeline:
         near = {n: F.last(v, ignorenulls=True).over(window) for n, v in values.items()}
         if not self.split:
             return self._with(self._df.withColumns(near))
+        line = self._settled()
         place = F.struct(*self.order)
         pick = F.min_by if backwards else F.max_by
-        carry = self._carry(
+        carry = line._carry(
             {f"_e_{n}": pick(v, F.when(v.isNotNull(), place)) for n, v in values.items()},
             lambda w: {f"_c_{n}": F.last(f"_e_{n}", ignorenulls=True).over(w) for n in values},
             backwards,
         )
-        df = self._join_carry(self._df.withColumns({f"_n_{n}": c for n, c in near.items()}), carry)
+        df = line._join_carry(line._df.withColumns({f"_n_{n}": c for n, c in near.items()}), carry)
         df = df.withColumns({n: F.coalesce(f"_n_{n}", f"_c_{n}") for n in values})
-        return self._with(df.drop(*[p + n for n in values for p in ("_n_", "_c_")]))
+        return line._with(df.drop(*[p + n for n in values for p in ("_n_", "_c_")]), 1)
 
     # -- public operators --------------------------------------------------------
 
@@ -224,7 +239,7 @@ class Timeline:
             return self._with(self._df.withColumns({n: F.lag(v).over(self._window()) for n, v in values.items()}))
         line = self._nearest({"_prev": packed}, backwards=False, own_row=False)
         df = line._df.withColumns({n: F.col("_prev").getField(n) for n in values})
-        return self._with(df.drop("_prev"))
+        return line._with(df.drop("_prev"))
 
     def running_sum(self, values: dict[str, Column], own_row: bool = True) -> "Timeline":
         """Sum from the first row; 0 before any value."""
@@ -232,16 +247,17 @@ class Timeline:
         if not self.split:
             sums = {n: F.coalesce(F.sum(v).over(window), F.lit(0)) for n, v in values.items()}
             return self._with(self._df.withColumns(sums))
-        carry = self._carry(
+        line = self._settled()
+        carry = line._carry(
             {f"_e_{n}": F.sum(v) for n, v in values.items()},
             lambda w: {f"_c_{n}": F.sum(f"_e_{n}").over(w) for n in values},
             backwards=False,
         )
-        df = self._join_carry(self._df.withColumns({f"_n_{n}": F.sum(v).over(window) for n, v in values.items()}), carry)
+        df = line._join_carry(line._df.withColumns({f"_n_{n}": F.sum(v).over(window) for n, v in values.items()}), carry)
         df = df.withColumns(
             {n: F.coalesce(f"_n_{n}", F.lit(0)) + F.coalesce(f"_c_{n}", F.lit(0)) for n in values}
         )
-        return self._with(df.drop(*[p + n for n in values for p in ("_n_", "_c_")]))
+        return line._with(df.drop(*[p + n for n in values for p in ("_n_", "_c_")]), 1)
 
     def position(self, name: str) -> "Timeline":
         """1-based row number."""
@@ -254,10 +270,11 @@ class Timeline:
         whole = Window.partitionBy(*self._cells)
         if not self.split:
             return self._with(self._df.withColumns({n: F.max(v).over(whole) for n, v in values.items()}))
-        blocks = self._df.groupBy(*self._cells).agg(*[F.max(v).alias(f"_e_{n}") for n, v in values.items()])
+        line = self._settled()
+        blocks = line._df.groupBy(*self._cells).agg(*[F.max(v).alias(f"_e_{n}") for n, v in values.items()])
         per_key = Window.partitionBy(*self.keys)
         top = blocks.select(*self._cells, *[F.max(f"_e_{n}").over(per_key).alias(n) for n in values])
-        return self._with(self._join_carry(self._df, top))
+        return line._with(line._join_carry(line._df, top), 1)
 
     def frames(self, values: dict[str, tuple[Column, int, int]]) -> "Timeline":
         """Aggregates over bounded row frames: name -> (aggregate, rows before, rows after)."""
@@ -268,10 +285,11 @@ class Timeline:
             )
         before = max(b for _, b, _ in values.values())
         after = max(a for _, _, a in values.values())
-        copies = self._copies(before, after)
+        numbered = self.position("_fpos")
+        copies = numbered._copies(before, after)
         window = Window.partitionBy(*self.keys, "_part").orderBy("_fpos")
         df = copies.withColumns({n: agg.over(window.rowsBetween(-b, a)) for n, (agg, b, a) in values.items()})
-        return self._with(df.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
+        return numbered._with(df.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
 
     def _copies(self, before: int, after: int) -> DataFrame:
         """Rows numbered by ``_fpos`` in equal blocks ``_part`` of row positions; a row near a
@@ -280,8 +298,7 @@ class Timeline:
         at = F.col("_fpos") - 1
         home = F.floor(at / size)
         homes = F.array(home, F.floor((at - after) / size), F.floor((at + before) / size))
-        numbered = self.position("_fpos")._df
-        return numbered.withColumn("_home", home).withColumn("_part", F.explode(F.array_distinct(homes)))
+        return self._df.withColumn("_home", home).withColumn("_part", F.explode(F.array_distinct(homes)))
 
     def map_blocks(self, add: Callable[[pa.Table], dict], fields: list[T.StructField], reach: int) -> "Timeline":
         """Adds columns computed by ``add`` on Arrow blocks of rows in order.
@@ -289,13 +306,14 @@ class Timeline:
         A row's values may depend on at most ``reach`` rows on either side. ``add`` sees at
         most about ``block_rows`` rows of one key and returns one array per field.
         """
+        numbered = self.position("_fpos")
         if self.split:
-            df = self._copies(reach, reach)
+            df = numbered._copies(reach, reach)
         else:
-            df = self.position("_fpos")._df.withColumns({"_home": F.lit(0).cast("long"), "_part": F.lit(0).cast("long")})
+            df = numbered._df.withColumns({"_home": F.lit(0).cast("long"), "_part": F.lit(0).cast("long")})
         schema = T.StructType([*df.schema.fields, *fields])
         out = df.groupBy(*self.keys, "_part").applyInArrow(_block_function(add, [f.name for f in fields]), schema)
-        return self._with(out.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
+        return numbered._with(out.filter(F.col("_part") == F.col("_home")).drop("_fpos", "_home", "_part"))
 
 
 def _block_function(add: Callable[[pa.Table], dict], names: list[str]):
