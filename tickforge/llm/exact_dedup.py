@@ -8,8 +8,8 @@ however long texts are, documents that share a long beginning are told apart by
 count as equal only when their whole normalised texts are equal.
 
 A group of copies may hold a third of all rows. Groups above ``max(RUN_ROWS, rows / MAX_RUNS)`` are cut
-by identifier into runs of about that size, so at most 2 * MAX_RUNS runs exist. Each run yields one head,
-and the heads of equal texts are compared in full once more.
+by identifier into runs of about that size that spread over the ranges; their smallest identifiers and
+sizes come from a full comparison with sums before the shuffle, and at most MAX_RUNS such groups exist.
 
 Defined results: null text counts as empty; null identifiers come last, so they are kept only if the whole
 group has none; of repeated rows (same identifier and text) exactly one is kept; an empty table gives no rows.
@@ -31,26 +31,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
-def _runs(rows: DataFrame) -> DataFrame:
-    """Rows (row, id, raw, h, salt) with the smallest id, size and place inside their run of equal texts."""
-    lead = F.substring(normalised(F.col("raw")), 1, LEAD)
-    ranged = rows.withColumn("lead", lead).repartitionByRange("lead", "h", "salt")
-    ranged = ranged.withColumn("norm", normalised(F.col("raw")))
-    run = Window.partitionBy("lead", "h", "salt", "norm").orderBy(F.col("id").asc_nulls_last())
-    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return ranged.select(
-        "row",
-        "id",
-        "h",
-        "salt",
-        "norm",
-        F.sha2(F.col("norm"), 256).alias("sha"),
-        F.first("id").over(whole).alias("run_id"),
-        F.count(F.lit(1)).over(whole).alias("run_size"),
-        F.row_number().over(run).alias("place"),
-    )
-
-
 def duplicate_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
@@ -58,11 +38,14 @@ def duplicate_classes(
 
     The answer columns stand beside the struct, so input columns of any name are safe.
     """
+    carry = docs.columns if carry is None else carry
+    norm = normalised(docs[text_col])
     rows = docs.select(
-        F.struct(*(docs[c] for c in (docs.columns if carry is None else carry))).alias("row"),
+        F.struct(*(docs[c] for c in carry)).alias("row"),
         docs[id_col].alias("id"),
-        docs[text_col].alias("raw"),
-        F.xxhash64(normalised(docs[text_col])).alias("h"),
+        F.xxhash64(norm).alias("h"),
+        F.substring(norm, 1, LEAD).alias("lead"),
+        norm.alias("norm"),
     )
     limit = max(RUN_ROWS, docs.count() // MAX_RUNS)
     hot = (
@@ -72,35 +55,37 @@ def duplicate_classes(
         .select("h", F.ceil(F.col("n") / limit).cast("int").alias("runs"))
     )
     hot = F.broadcast(hot)  # at most MAX_RUNS rows of two numbers
-    common = _runs(rows.join(hot, "h", "left_anti").withColumn("salt", F.lit(0)))
-    plain = common.select(
+    # Large groups, compared in full and summed before the shuffle; at most MAX_RUNS rows without their texts.
+    large = rows.join(hot, "h").groupBy("h", "norm").agg(F.min("id").alias("group_id"), F.count(F.lit(1)).alias("n"))
+    large = large.select(F.sha2("norm", 256).alias("sha"), "group_id", "n")
+
+    salt = F.when(F.col("runs").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("runs"))).cast("int")
+    ranged = rows.join(hot, "h", "left").withColumn("salt", salt)
+    if text_col in carry:  # the text travels once, inside the row
+        ranged = ranged.drop("norm").repartitionByRange("lead", "h", "salt")
+        ranged = ranged.withColumn("norm", normalised(F.col("row").getField(text_col)))
+    else:
+        ranged = ranged.repartitionByRange("lead", "h", "salt")
+    run = Window.partitionBy("lead", "h", "salt", "norm").orderBy(F.col("id").asc_nulls_last())
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sorted_rows = ranged.select(
         "row",
-        F.col("run_id").alias("keep_id"),
-        F.col("run_size").alias("group_size"),
-        (F.col("place") == 1).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-    )
-    cut = rows.join(hot, "h").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("runs")).cast("int"))
-    cut = _runs(cut.drop("runs"))
-    group = Window.partitionBy("h", "norm")
-    heads = cut.where(F.col("place") == 1).select(
-        F.col("sha").alias("head_sha"),
-        F.col("salt").alias("head_salt"),
-        F.col("run_id").alias("head_id"),
-        F.min("run_id").over(group).alias("keep_id"),
-        F.sum("run_size").over(group).alias("group_size"),
-        (F.row_number().over(group.orderBy(F.col("run_id").asc_nulls_last())) == 1).alias("first_run"),
-    )
-    joined = cut.join(
-        F.broadcast(heads),  # one row per run: at most 2 * MAX_RUNS
-        (F.col("sha") == F.col("head_sha"))
-        & (F.col("salt") == F.col("head_salt"))
-        & F.col("run_id").eqNullSafe(F.col("head_id")),
+        "id",
+        F.sha2("norm", 256).alias("text_sha256"),
+        F.first("id").over(whole).alias("run_id"),
+        F.count(F.lit(1)).over(whole).alias("run_size"),
+        F.row_number().over(run).alias("place"),
     )
-    salted = joined.select(
-        "row", "keep_id", "group_size", (F.col("first_run") & (F.col("place") == 1)).alias("kept"), F.col("sha").alias("text_sha256")
+    joined = sorted_rows.join(F.broadcast(large), F.col("text_sha256") == F.col("sha"), "left")
+    keep = F.when(F.col("sha").isNull(), F.col("run_id")).otherwise(F.col("group_id"))
+    return joined.select(
+        "row",
+        keep.alias("keep_id"),
+        F.coalesce("n", "run_size").alias("group_size"),
+        # In a cut group only the run that holds the smallest identifier has a row to keep.
+        ((F.col("place") == 1) & F.col("id").eqNullSafe(keep)).alias("kept"),
+        "text_sha256",
     )
-    return plain.unionByName(salted)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

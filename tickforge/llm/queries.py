@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickforge.catalog import query
-from tickforge.llm import exact_dedup, token_counts
+from tickforge.llm import decontamination, exact_dedup, html_extract, language_id, lm_scoring, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,3 +20,33 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.query(documents(spark, sf_dir))
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.query(documents(spark, sf_dir))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.query(documents(spark, sf_dir))
+
+
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.query(documents(spark, sf_dir))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op9_html_extract")
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.query(spark.read.parquet(f"{sf_dir}/pages.parquet"))
