@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickforge.catalog import query
-from tickforge.llm import decontamination, exact_dedup, html_extract, language_id, lm_scoring, secret_scan, token_counts, toxicity
+from tickforge.llm import decontamination, exact_dedup, html_extract, language_id, lm_scoring, mixing, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,3 +50,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_html_extract")
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.query(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))

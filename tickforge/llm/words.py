@@ -60,7 +60,7 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.n
     value = np.zeros(len(at), np.uint64)
     for k in range(n):
         inside = rest[at] > k
-        part = np.where(inside, words[np.minimum(at + k, len(words) - 1)], STEP * np.uint64(k + 1)) if len(at) else value
+        part = np.where(inside, words[np.minimum(at + k, len(words) - 1)], np.uint64(int(STEP) * (k + 1) % 2**64)) if len(at) else value
         value = mix(value * STEP + part)
     return value, rows[at]
 
