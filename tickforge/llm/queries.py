@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickforge.catalog import query
-from tickforge.llm import decontamination, exact_dedup, html_extract, language_id, lm_scoring, mixing, secret_scan, token_counts, toxicity
+from tickforge.llm import decontamination, exact_dedup, html_extract, language_id, lm_scoring, mixing, ngram_join, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,3 +55,8 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_mixing")
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.query(documents(spark, sf_dir))
