@@ -25,8 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.samples import hashed_share, id_bucket
+from tickforge.session import checkpoint_dir
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 WORDS = 20_000
 GRAMS = 8_000
 LONGEST = 4
@@ -46,44 +47,49 @@ def grams(word: str, n: int) -> list[str]:
 class Model:
     """Log frequencies by language for words and n-grams."""
 
-    def __init__(self, languages: list[str], tables: list[dict[str, np.ndarray]], floors: list[np.ndarray], prior: np.ndarray):
+    def __init__(self, languages: list[str], tables: list[dict[str, tuple]], floors: list[tuple], prior: np.ndarray):
         self.languages, self.tables, self.floors, self.prior = languages, tables, floors, prior
-        self.seen: dict[str, np.ndarray] = {}
+        self.index: dict[str, int] = {}
+        self.rows = np.zeros((0, len(languages)))
 
-    def _backed_off(self, text: str, n: int) -> np.ndarray:
+    def _backed_off(self, word: str, n: int) -> list[float]:
         """Evidence of a piece of an unseen word from n-grams of length n, or shorter ones where none is known."""
-        found = [self.tables[n].get(g) for g in grams(text, n)] if n > 1 else [self.tables[1].get(g) for g in text]
-        known = [x for x in found if x is not None]
+        table = self.tables[n]
+        known = [x for g in grams(word, n) if (x := table.get(g)) is not None]
         if known:
-            return np.mean(known, axis=0)
-        return self._backed_off(text, n - 1) if n > 1 else self.floors[1]
+            return [sum(column) / len(known) for column in zip(*known, strict=True)]
+        return self._backed_off(word, n - 1) if n > 1 else list(self.floors[1])
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> list[float]:
         """Evidence of one word, relative to the mean over languages."""
-        got = self.seen.get(word)
-        if got is None:
-            known = self.tables[0].get(word)
-            if known is None:
-                known = self._backed_off(word, LONGEST)
-            got = known - known.mean()
-            if len(self.seen) >= CACHE:
-                self.seen.clear()
-            self.seen[word] = got
-        return got
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = WORD.findall(text.lower()) if text else []
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        counts = Counter(words)
-        total = np.zeros(len(self.languages))
-        for w, n in counts.items():
-            total += n * self.word(w)
-        # The sum grows with length far beyond what dependent words justify: use its mean times a slow function of length.
-        evidence = self.prior + total / len(words) * min(len(words), 8 * math.sqrt(len(words)))
-        share = np.exp(evidence - evidence.max())
-        best = int(np.argmax(evidence))
-        return self.languages[best], float(share[best] / share.sum())
+        known = self.tables[0].get(word) or self._backed_off(word, LONGEST)
+        mean = sum(known) / len(known)
+        return [x - mean for x in known]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of every text."""
+        words = [WORD.findall(t.lower()) if t else [] for t in texts]
+        if not self.languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        new = list(set().union(*words).difference(self.index))
+        if len(self.index) + len(new) > CACHE:
+            self.index, self.rows = {}, self.rows[:0]
+            new = list(set().union(*words))
+        if new:
+            self.rows = np.concatenate([self.rows, np.array([self.word(w) for w in new])])
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        out = []
+        for found in words:
+            if not found:
+                out.append((UNKNOWN, 0.0))
+                continue
+            mean = self.rows[np.fromiter(map(self.index.__getitem__, found), np.int64, len(found))].mean(axis=0)
+            # Words of a text depend on each other: let the evidence grow ever more slowly with their number.
+            evidence = self.prior + mean * min(len(found), 8 * math.sqrt(len(found)))
+            share = np.exp(evidence - evidence.max())
+            best = int(np.argmax(evidence))
+            out.append((self.languages[best], float(share[best] / share.sum())))
+        return out
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id") -> Model:
@@ -95,9 +101,12 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col
     def spell(batches):
         for batch in batches:
             counts: Counter = Counter()
+            words: dict[str, Counter] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 counts[(lang, -1, "")] += 1
-                for word, n in Counter(WORD.findall(text.lower())).items():
+                words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+            for lang, by_word in words.items():
+                for word, n in by_word.items():
                     counts[(lang, 0, word)] += n
                     for size in range(1, LONGEST + 1):
                         for g in grams(word, size):
@@ -114,6 +123,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col
             )
 
     counts = rows.mapInArrow(spell, "lang string, size int, item string, n long").groupBy("lang", "size", "item").agg(F.sum("n").alias("n"))
+    checkpoint_dir(docs.sparkSession)
+    counts = counts.checkpoint()
     by_item = counts.groupBy("size", "item").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     sums = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
     total = {(r["lang"], r["size"]): r["n"] for r in sums}
@@ -126,8 +137,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col
         kept = by_item.where((F.col("size") == size) & (F.col("total") >= (2 if size == 0 else 1)))
         kept = kept.orderBy(F.desc("total"), "item").limit(most).collect()
         whole = np.array([total.get((g, size), 0) for g in languages], float)
-        floors.append(np.log(0.5 / (whole + most)))
-        tables.append({r["item"]: np.log((np.array([r["by"].get(g, 0) for g in languages]) + 0.5) / (whole + most)) for r in kept})
+        floors.append(tuple(np.log(0.5 / (whole + most)).tolist()))
+        seen = np.array([[r["by"].get(g, 0) for g in languages] for r in kept], float).reshape(len(kept), len(languages))
+        logs = np.log((seen + 0.5) / (whole + most)).tolist()
+        tables.append({r["item"]: tuple(x) for r, x in zip(kept, logs, strict=True)})
     rows_of = np.array([total.get((g, -1), 0) for g in languages], float)
     return Model(languages, tables, floors, np.log((rows_of + 1) / (rows_of.sum() + len(languages))))
 
@@ -140,7 +153,9 @@ def predictions(docs: DataFrame, model: Model, text_col: str = "text", keep: lis
     def predict(batches):
         known = shared.value
         for batch in batches:
-            got = [known.predict(t) for t in batch.column("text").to_pylist()]
+            got = []
+            for first in range(0, len(batch), 1000):
+                got += known.predict(batch.column("text").slice(first, 1000).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 names=["row", "lang_pred", "score"],

@@ -71,17 +71,17 @@ class Mixer:
         self.domains, self.prior, self.tables, self.temperature = domains, prior, tables, temperature
         self.steps: list[list[float]] = []
 
-    def posterior(self, bins: Column, temperature: float | None = None) -> Column:
-        """Array of probabilities, one a domain."""
+    def with_posterior(self, rows: DataFrame, name: str = "p", temperature: float | None = None) -> DataFrame:
+        """Adds an array of probabilities, one a domain, from column ``bins``; each step is computed once a row."""
         heat = self.temperature if temperature is None else temperature
         logs = []
         for k, prior in enumerate(self.prior):
-            parts = [F.array(*map(F.lit, table[k])).getItem(bins.getItem(j)) for j, table in enumerate(self.tables)]
+            parts = [F.array(*map(F.lit, table[k])).getItem(F.col("bins").getItem(j)) for j, table in enumerate(self.tables)]
             logs.append(F.lit(prior) + F.lit(heat) * reduce(lambda a, b: a + b, parts))
-        top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-        weights = F.transform(F.array(*logs), lambda x: F.exp(x - top))
-        total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-        return F.transform(weights, lambda x: x / total)
+        rows = rows.withColumn("_logs", F.array(*logs)).withColumn("_top", F.array_max("_logs"))
+        rows = rows.withColumn("_weights", F.transform("_logs", lambda x: F.exp(x - F.col("_top"))))
+        rows = rows.withColumn("_total", F.aggregate("_weights", F.lit(0.0), lambda a, x: a + x))
+        return rows.withColumn(name, F.transform("_weights", lambda x: x / F.col("_total"))).drop("_logs", "_top", "_weights", "_total")
 
     def rate(self, p: Column) -> Column:
         """The rate after all steps of a document with posterior ``p``."""
@@ -113,10 +113,11 @@ def _classifier(slim: DataFrame, labelled: DataFrame) -> Mixer:
     table = np.log(table / table.sum(axis=2, keepdims=True))
     prior = [math.log(rows[d] / sum(rows.values())) for d in domains]
     mixer = Mixer(domains, prior, table.tolist())
-    number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain"))
-    fits = known.agg(
-        *(F.avg(F.log(F.element_at(mixer.posterior(F.col("bins"), h), number.cast("int")) + 1e-12)).alias(f"t{i}") for i, h in enumerate(TEMPERATURES))
-    ).first()
+    number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int")
+    rated = known
+    for i, heat in enumerate(TEMPERATURES):
+        rated = mixer.with_posterior(rated, f"p{i}", heat)
+    fits = rated.agg(*(F.avg(F.log(F.element_at(f"p{i}", number) + 1e-12)).alias(f"t{i}") for i in range(len(TEMPERATURES)))).first()
     mixer.temperature = max(zip(fits, TEMPERATURES, strict=True))[1]
     return mixer
 
@@ -134,7 +135,7 @@ def fit(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     n = len(mixer.domains)
     if not n:
         return mixer, slim.select("id", "n_tokens", F.array().cast("array<double>").alias("p"))
-    slim = slim.select("id", "n_tokens", mixer.posterior(F.col("bins")).alias("p")).checkpoint()
+    slim = mixer.with_posterior(slim).select("id", "n_tokens", "p").checkpoint()
     p, tokens = F.col("p"), F.col("n_tokens")
     pairs = [(a, b) for a in range(n) for b in range(a, n)]
     sums = slim.agg(F.sum("n_tokens"), *(F.sum(tokens * p.getItem(a) * p.getItem(b)) for a, b in pairs)).first()
@@ -166,9 +167,11 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_co
     """Rows with a positive rate: all columns of ``docs`` in struct ``row``, with n_tokens, rate and copies."""
     mixer, _ = fit(docs, labelled, targets, id_col, text_col)
     rows = described(docs, text_col)
-    rate = mixer.rate(mixer.posterior(F.col("bins"))) if mixer.domains else F.lit(1.0)
-    rows = rows.select("row", "n_tokens", rate.alias("rate")).where(F.col("rate") > 0)
-    return rows.withColumn("copies", copies(F.col("rate"), F.col("row").getField(id_col)))
+    rows = mixer.with_posterior(rows) if mixer.domains else rows.withColumn("p", F.array().cast("array<double>"))
+    rows = rows.select("row", "n_tokens", mixer.rate(F.col("p")).alias("rate"))
+    # A plain filter on the rate would be moved below the classifier and compute it many times over.
+    one = F.struct("row", "n_tokens", "rate", copies(F.col("rate"), F.col("row").getField(id_col)).alias("copies"))
+    return rows.select(F.inline(F.filter(F.array(one), lambda x: x["rate"] > 0)))
 
 
 #: Token shares asked for in the registered query: mostly documents of good quality (label 1).
