@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,40 +264,78 @@ def test_stuck_equals_run_length(spark):
         assert flags == [0] * 7 + [1] * 8 + [0] * 9 + [1] * 20 + [0] * 5
 
 
-def test_fill_equals_pandas(spark):
+def test_fill_equals_its_definition(spark):
     import numpy as np
-    import pandas as pd
 
     rng = np.random.default_rng(3)
     for _ in range(3):
-        s = pd.Series(rng.normal(size=60))
-        s[rng.random(60) < 0.6] = np.nan
-        want = s.interpolate(method="linear", limit=3, limit_direction="both")
-        values = [None if np.isnan(v) else float(v) for v in s]
+        values = [None if rng.random() < 0.6 else float(v) for v in rng.normal(size=60)]
+        want = filled_by_hand(values, 3)
         for block in (None, 9):
             out = fill_gaps(Timeline(history(spark, values), ["machine_id"], ["timestamp"], block), ["x"]).df
-            got = [r.x if r.x is not None else np.nan for r in out.orderBy("timestamp").collect()]
-            np.testing.assert_allclose(got, want.to_numpy(), atol=1e-12)
-
-
-def test_cleaning_equals_pandas_when_cut(spark):
+            got = [r.x for r in out.orderBy("timestamp").collect()]
+            assert [v is None for v in got] == [v is None for v in want]
+            assert [v for v in got if v is not None] == pytest.approx([v for v in want if v is not None])
+
+
+def filled_by_hand(values, limit):
+    """Straight lines between known values, the nearest one beyond them, at most ``limit`` rows away."""
+    known = [i for i, v in enumerate(values) if v is not None]
+    out = list(values)
+    for i, v in enumerate(values):
+        before = max((k for k in known if k <= i), default=None)
+        after = min((k for k in known if k >= i), default=None)
+        ends = [k for k in (before, after) if k is not None]
+        if v is None and ends and min(abs(i - k) for k in ends) <= limit:
+            if len(ends) == 1:
+                out[i] = values[ends[0]]
+            else:
+                out[i] = values[before] + (values[after] - values[before]) * (i - before) / (after - before)
+    return out
+
+
+def medians_by_hand(values, half, least):
+    out = []
+    for i in range(len(values)):
+        near = sorted(v for v in values[max(0, i - half) : i + half + 1] if v is not None)
+        out.append(statistics.median(near) if len(near) >= least else None)
+    return out
+
+
+def test_cleaning_equals_its_definition_when_cut(spark):
     import numpy as np
-    import pandas as pd
 
     rng = np.random.default_rng(5)
-    s = pd.Series(rng.normal(50, 1, 400))
-    s[rng.random(400) < 0.1] = np.nan
-    s[[50, 200, 333]] = 500.0
-    med = s.rolling(241, center=True, min_periods=15).median()
-    gap = (s - med).abs()
-    mad = gap.rolling(241, center=True, min_periods=15).median()
-    spike = (gap / (mad.replace(0, np.nan) * 1.4826) > 8).fillna(False)
-    want = s.mask(spike).interpolate(method="linear", limit=3, limit_direction="both")
-    df = history(spark, [None if np.isnan(v) else float(v) for v in s]).withColumnRenamed("x", "iot_temperature")
+    values = [None if rng.random() < 0.1 else float(v) for v in rng.normal(50, 1, 400)]
+    for i in (50, 200, 333):
+        values[i] = 500.0
+    middle = medians_by_hand(values, 120, 15)
+    distance = [None if v is None or m is None else abs(v - m) for v, m in zip(values, middle)]
+    unit = medians_by_hand(distance, 120, 15)
+    marks = [int(bool(d is not None and u and d / (1.4826 * u) > 8)) for d, u in zip(distance, unit)]
+    assert sum(marks) == 3
+    want = filled_by_hand([None if k else v for v, k in zip(values, marks)], 3)
+    with_nan = [float("nan") if v is None and i % 2 else v for i, v in enumerate(values)]
+    df = history(spark, with_nan).withColumnRenamed("x", "iot_temperature")
     for block in (None, 100):
         out = clean_sensors(df, block_rows=block).orderBy("timestamp").collect()
-        assert [r.iot_temperature_spike_suspect for r in out] == spike.astype(int).tolist()
-        np.testing.assert_allclose([np.nan if r.iot_temperature is None else r.iot_temperature for r in out], want.to_numpy(), atol=1e-9)
+        assert [r.iot_temperature_spike_suspect for r in out] == marks
+        got = [r.iot_temperature for r in out]
+        assert [v is None for v in got] == [v is None for v in want]
+        assert [v for v in got if v is not None] == pytest.approx([v for v in want if v is not None])
+
+
+def test_pivot_keeps_every_sensor_and_the_last_arrival(spark):
+    rows = [("M1", at(0), "iot_vibration_rms", 1.0, at(1)), ("M1", at(0), "new_sensor", 2.0, at(1)), ("M1", at(0), "new_sensor", 1.5, at(2))]
+    long = frame(spark, rows, "id_machine string, timestamp timestamp_ntz, sensor string, value double, time timestamp_ntz").withColumn("note", F.lit("kept"))
+    wide = long_to_wide(long).first()
+    assert (wide.iot_vibration_rms, wide.new_sensor, wide.note) == (1.0, 1.5, "kept")
+
+
+def test_messages_without_a_number_are_no_readings(spark):
+    texts = ['{"id_machine":"M1","iot_x":"NaN"}', '{"id_machine":"M1","iot_x":1.5}']
+    got = messages_to_long(frame(spark, [(t,) for t in texts], "value string")).orderBy("accepted").collect()
+    assert [(r.accepted, r.value_number) for r in got] == [(False, None), (True, 1.5)]
 
 
 def test_since_stop_falls_back_to_age(spark):

@@ -1,6 +1,7 @@
 """Streams give what the batch form gives."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ def write_ticks(folder, ticks):
     for i, tick in enumerate(ticks):
         with open(f"{folder}/tick{i}.jsonl", "w") as f:
             f.write("\n".join(json.dumps(m) if isinstance(m, dict) else m for m in tick) + "\n")
+        os.utime(f"{folder}/tick{i}.jsonl", (1_700_000_000 + i, 1_700_000_000 + i))  # files are read in order of age
 
 
 def message(minute, sensor, value, machine="M1"):
@@ -55,6 +57,18 @@ def test_replay_tick_by_tick(spark, tmp_path):
     assert len(lines) == 5 and all(x.startswith("sensor_data,id_machine=M") for x in lines)
 
 
+def test_export_keeps_late_rows_and_overwrites_repeats(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    ahead = message(0, "iot_temperature", 9.0) | {"timestamp": "2024-09-01 00:00:00"}
+    write_ticks(source, [[ahead], [message(5, "iot_temperature", 1.0)], [message(1, "iot_temperature", 2.0)], [message(5, "iot_temperature", 3.0)]])
+    long = parse_messages(message_files(spark, str(source), 1))
+    for _ in range(2):  # a second run over the same files changes nothing
+        start_export(long, f"{tmp_path}/out", f"{tmp_path}/c", every=None).awaitTermination()
+        got = spark.read.parquet(f"{tmp_path}/out").orderBy("sensor_timestamp").collect()
+        assert [r.value for r in got] == [2.0, 3.0, 9.0]
+
+
 def test_references_survive_a_failed_reload():
     calls = []
 

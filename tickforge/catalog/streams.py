@@ -10,7 +10,7 @@ from tickforge.catalog import query
 from tickforge.catalog.models import live_references
 from tickforge.catalog.silver import events, r6, us
 from tickforge.session import checkpoint_dir, use_utc
-from tickforge.streaming.ingest import parse_messages, start_export, without_repeats
+from tickforge.streaming.ingest import parse_messages, start_export
 from tickforge.streaming.scoring import Refreshed, start_scoring
 from tickforge.streaming.state import latest_values, machine_state
 
@@ -80,12 +80,12 @@ def stream_machine_state(spark, folder):
 
 @query(
     "stream_export",
-    """SELECT 'M' || user_id AS id_machine, event_type AS sensor, value, epoch_us(ts) AS sensor_timestamp_us, CAST(ts AS DATE) AS date FROM events""",
+    """SELECT 'M' || user_id AS id_machine, event_type AS sensor, max(value) AS value, epoch_us(ts) AS sensor_timestamp_us, CAST(ts AS DATE) AS date FROM events GROUP BY user_id, event_type, ts""",
 )
 def stream_export(spark, folder):
-    """Messages exported once to date-partitioned Parquet."""
+    """All messages, late ones too, exported once to date-partitioned Parquet."""
     path = place(spark, "export")
-    long = without_repeats(parse_messages(event_messages(spark, folder)))
+    long = parse_messages(event_messages(spark, folder))
     start_export(long, f"{path}/out", f"{path}/checkpoint", every=None).awaitTermination()
     out = spark.read.parquet(f"{path}/out")
     return out.select("id_machine", "sensor", "value", us("sensor_timestamp"), F.col("date").cast("date").alias("date"))

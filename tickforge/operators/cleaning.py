@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -57,58 +56,58 @@ def remove_spikes(
     Distance is in rolling median absolute deviations, over ``rows`` centred rows of
     which ``least`` must hold a value; a zero deviation never flags.
 
-    A median over a row frame is evaluated anew for every row by Spark's window operator.
-    Beyond small tables the two chained medians therefore run on Arrow blocks with a
-    rolling median, whose cost hardly grows with the frame (measured: over twenty times
-    faster on long histories). Each value depends on at most two half frames on either
-    side.
+    NaN counts as missing. A median over a row frame is evaluated anew for every row by
+    Spark's window operator, so the two chained medians run on Arrow blocks for every size
+    of table. Each value depends on at most two half frames on either side.
     """
-    if line.small:
-        return _spikes_in_frames(line, sensors, score, rows // 2, least)
+    half = rows // 2
+
+    def add(table: pa.Table) -> dict:
+        return {
+            f"{c}_spike_suspect": pa.array(spike_marks(_numbers(table.column(c)), half, least, score).astype(np.int32))
+            for c in sensors
+        }
+
     fields = [T.StructField(f"{c}_spike_suspect", T.IntegerType()) for c in sensors]
-    line = line.map_blocks(_spike_flags(sensors, score, rows, least), fields, reach=2 * (rows // 2))
+    line = without_nan(line, sensors).map_blocks(add, fields, reach=2 * half)
     return line.with_columns({c: F.when(F.col(f"{c}_spike_suspect") == 0, F.col(c)) for c in sensors})
 
 
-def _spikes_in_frames(line: Timeline, sensors: list[str], score: float, half: int, least: int) -> Timeline:
-    def medians(columns: list[str]) -> dict[str, tuple[Column, int, int]]:
-        out = {}
-        for c in columns:
-            out[f"_n_{c}"] = (F.count(c), half, half)
-            out[f"_m_{c}"] = (F.percentile(c, F.lit(0.5)), half, half)
-        return out
+def without_nan(line: Timeline, sensors: list[str]) -> Timeline:
+    """NaN readings become null, so that every step treats them as missing."""
+    kinds = {f.name: f.dataType for f in line.df.schema.fields}
+    real = [c for c in sensors if isinstance(kinds[c], (T.DoubleType, T.FloatType))]
+    return line.with_columns({c: F.nanvl(F.col(c), F.lit(None)) for c in real}) if real else line
 
-    def known(c: str) -> Column:
-        return F.when(F.col(f"_n_{c}") >= least, F.col(f"_m_{c}"))
 
-    gaps = [f"_d_{c}" for c in sensors]
-    line = line.frames(medians(sensors))
-    line = line.with_columns({d: F.abs(F.col(c) - known(c)) for c, d in zip(sensors, gaps)})
-    line = line.frames(medians(gaps))
-    flags = {}
-    for c, d in zip(sensors, gaps):
-        far = F.col(d) / (F.nullif(known(d), F.lit(0.0)) * MAD_TO_SIGMA) > score
-        flags[f"{c}_spike_suspect"] = F.coalesce(far, F.lit(False)).cast("int")
-    line = line.with_columns(flags)
-    line = line.with_columns({c: F.when(F.col(f"{c}_spike_suspect") == 0, F.col(c)) for c in sensors})
-    return line.drop(*gaps, *[p + c for c in sensors + gaps for p in ("_n_", "_m_")])
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
 
 
-def _spike_flags(sensors: list[str], score: float, rows: int, least: int):
-    sigma = MAD_TO_SIGMA
+def centred_medians(values: np.ndarray, half: int, least: int, chunk: int = 2048) -> np.ndarray:
+    """Median of the values at most ``half`` places away; NaN where fewer than ``least`` are known.
 
-    def add(table: pa.Table) -> dict:
-        out = {}
-        for c in sensors:
-            x = pd.Series(table.column(c).to_numpy(zero_copy_only=False).astype(float))
-            gap = (x - x.rolling(rows, center=True, min_periods=least).median()).abs()
-            mad = gap.rolling(rows, center=True, min_periods=least).median()
-            with np.errstate(divide="ignore", invalid="ignore"):
-                far = (mad > 0) & (gap / (mad * sigma) > score)
-            out[f"{c}_spike_suspect"] = pa.array(far.to_numpy().astype(np.int32))
+    Frames are sorted some rows at a time, missing values last, and the middle is picked.
+    """
+    out = np.full(len(values), np.nan)
+    if not len(values):
         return out
+    edge = np.full(half, np.nan)
+    frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, values, edge]), 2 * half + 1)
+    for first in range(0, len(values), chunk):
+        ordered = np.sort(frames[first : first + chunk], axis=1)
+        known = (2 * half + 1) - np.isnan(ordered).sum(axis=1)
+        row = np.flatnonzero(known >= max(1, least))
+        low, high = ordered[row, (known[row] - 1) // 2], ordered[row, known[row] // 2]
+        out[first + row] = (low + high) / 2
+    return out
+
 
-    return add
+def spike_marks(values: np.ndarray, half: int, least: int, score: float) -> np.ndarray:
+    """True where a value lies more than ``score`` deviations from the median around it."""
+    distance = np.abs(values - centred_medians(values, half, least))
+    unit = MAD_TO_SIGMA * centred_medians(distance, half, least)
+    return np.where(unit > 0, distance, 0.0) > score * np.where(unit > 0, unit, 1.0)
 
 
 def fill_gaps(line: Timeline, sensors: list[str], limit: int = FILL_ROWS) -> Timeline:
@@ -140,6 +139,7 @@ def clean_timeline(line: Timeline) -> Timeline:
     """Stuck flags on noisy sensors, then spikes, then gaps; absent sensors are skipped."""
     columns = line.df.columns
     present = [c for c in SENSORS if c in columns]
+    line = without_nan(line, present)
     line = flag_stuck(line, [c for c in NOISY_SENSORS if c in columns])
     line = remove_spikes(line, present)
     return fill_gaps(line, present)

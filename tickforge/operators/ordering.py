@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickforge.operators.timeline import Timeline, surely_small
 from tickforge.session import checkpoint_dir
 
-SMALL_ROWS = 2_000_000
+SMALL_ROWS = 200_000
 # Rank error of the sketch that brackets a quantile, and the bracket around it.
 _SKETCH_ACCURACY = 10_000
 _BRACKET = 3.0 / _SKETCH_ACCURACY
@@ -55,45 +55,58 @@ def rank_written(df: DataFrame, column: str, name: str, small: bool) -> DataFram
 
 
 def _as_double(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
+    return df.select(*[F.nanvl(c.cast("double"), F.lit(None)).alias(n) for n, c in columns.items()])
 
 
 def exact_quantiles(
     df: DataFrame, columns: dict[str, Column], q: float, small_rows: int | None = None, block_rows: int | None = None
 ) -> DataFrame:
-    """One row with the linearly interpolated ``q`` quantile of each numeric expression.
+    """One row with the linearly interpolated ``q`` quantile of each numeric expression; NaN counts as missing.
 
     Small inputs use one exact aggregate. Larger ones take two passes: a mergeable
     sketch brackets each quantile, then only values inside the brackets are counted
     and scanned in order, which gives the exact order statistics.
     """
-    flat = _as_double(df, columns)
+    return _quantiles(_as_double(df, columns), {n: (n, q) for n in columns}, small_rows, block_rows)
+
+
+def exact_cut_points(
+    df: DataFrame, columns: dict[str, Column], marks: list[float], small_rows: int | None = None, block_rows: int | None = None
+) -> dict[str, list[float]]:
+    """Distinct exact quantiles of each expression at all ``marks``, in order."""
+    wanted = {f"{n}@{i}": (n, q) for n in columns for i, q in enumerate(marks)}
+    row = _quantiles(_as_double(df, columns), wanted, small_rows, block_rows).first()
+    return {n: sorted({row[f"{n}@{i}"] for i in range(len(marks))} - {None}) for n in columns}
+
+
+def _quantiles(flat: DataFrame, wanted: dict[str, tuple[str, float]], small_rows: int | None, block_rows: int | None) -> DataFrame:
+    """``wanted`` maps an output name to (column of ``flat``, quantile)."""
     limit = small_rows if small_rows is not None else SMALL_ROWS
-    if surely_small(flat, limit) or flat.count() <= limit:
-        return flat.agg(*[F.percentile(n, F.lit(q)).alias(n) for n in columns])
-    marks = [F.lit(max(0.0, q - _BRACKET)), F.lit(min(1.0, q + _BRACKET))]
+    if flat.count() <= limit:
+        return flat.agg(*[F.percentile(F.col(f"`{c}`"), F.lit(q)).alias(n) for n, (c, q) in wanted.items()])
     sketch = flat.agg(
-        *[F.percentile_approx(n, F.array(*marks), _SKETCH_ACCURACY).alias(f"b_{n}") for n in columns],
-        *[F.count(n).alias(f"n_{n}") for n in columns],
+        *[
+            F.percentile_approx(f"`{c}`", F.array(F.lit(max(0.0, q - _BRACKET)), F.lit(min(1.0, q + _BRACKET))), _SKETCH_ACCURACY).alias(f"b_{n}")
+            for n, (c, q) in wanted.items()
+        ],
+        *[F.count(f"`{c}`").alias(f"n_{n}") for n, (c, _) in wanted.items()],
     ).first()
-    bounds, sizes = {}, {}
-    for n in columns:
-        sizes[n] = sketch[f"n_{n}"]
-        bounds[n] = sketch[f"b_{n}"] if sizes[n] else [0.0, 0.0]
-    below = flat.agg(*[F.count_if(F.col(n) < bounds[n][0]).alias(n) for n in columns]).first()
+    sizes = {n: sketch[f"n_{n}"] for n in wanted}
+    bounds = {n: sketch[f"b_{n}"] if sizes[n] else [0.0, 0.0] for n in wanted}
+    below = flat.agg(*[F.count_if(F.col(f"`{c}`") < bounds[n][0]).alias(n) for n, (c, _) in wanted.items()]).first()
     inside = F.explode(
         F.array(
             *[
-                F.struct(F.lit(n).alias("_name"), F.when(F.col(n).between(*bounds[n]), F.col(n)).alias("_v"))
-                for n in columns
+                F.struct(F.lit(n).alias("_name"), F.when(F.col(f"`{c}`").between(*bounds[n]), F.col(f"`{c}`")).alias("_v"))
+                for n, (c, _) in wanted.items()
             ]
         )
     ).alias("_e")
     counts = flat.select(inside).select("_e.*").filter(F.col("_v").isNotNull()).groupBy("_name", "_v").count()
     line = Timeline(counts, ["_name"], ["_v"], block_rows).running_sum({"_upto": F.col("count")})
-    rank = {n: q * (sizes[n] - 1) - below[n] for n in columns}
+    rank = {n: q * (sizes[n] - 1) - below[n] for n, (_, q) in wanted.items()}
     picks = []
-    for n in columns:
+    for n in wanted:
         low = float(int(rank[n] // 1))
         share = rank[n] - low
         at_low, at_high = (

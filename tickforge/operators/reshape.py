@@ -20,7 +20,7 @@ def wide_to_long(df: DataFrame, columns: list[str], machine: str = "machine_id",
             F.lit(0.0).alias("value"),
             F.col(at).alias("sensor_timestamp"),
         ).limit(0)
-    slim = df.select(machine, at, *[F.col(c).cast("double").alias(c) for c in present])
+    slim = df.select(machine, at, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in present])
     long = slim.unpivot([machine, at], present, "sensor", "value").filter(F.col("value").isNotNull())
     return long.select(
         F.col(machine).alias("id_machine"), "sensor", "value", F.col(at).alias("sensor_timestamp")
@@ -32,18 +32,30 @@ def long_to_wide(
 ) -> DataFrame:
     """One row per (machine, instant) with a column per reading; wide input passes through.
 
-    Other columns are constant within a tick and keep their first non-null value. The
-    reading names are fixed beforehand, so no extra pass looks for them.
+    Without ``readings`` every sensor found in the data gets a column, after the known ones;
+    a stream cannot be searched beforehand and has the known ones only. Of several values of
+    one reading and instant the last to arrive (column ``time``, where there is one) counts, then the
+    largest. Other columns are constant within a tick and keep their largest value.
     """
     if "sensor" not in df.columns or "value" not in df.columns:
         return df.withColumnRenamed(machine, "machine_id")
-    names = readings or KNOWN_READINGS
+    names = readings or found_readings(df)
     constants = [c for c in df.columns if c not in (machine, at, "sensor", "value")]
-    pivoted = [F.first(F.when(F.col("sensor") == n, F.col("value")), ignorenulls=True).alias(n) for n in names]
-    kept = [F.first(c, ignorenulls=True).alias(c) for c in constants]
+    arrival = F.struct(*[c for c in ("time",) if c in df.columns], "value")
+    known = F.col("value").isNotNull()
+    pivoted = [F.max_by("value", F.when((F.col("sensor") == n) & known, arrival)).alias(n) for n in names]
+    kept = [F.max(c).alias(c) for c in constants]
     return df.groupBy(F.col(machine).alias("machine_id"), at).agg(*pivoted, *kept)
 
 
+def found_readings(df: DataFrame) -> list[str]:
+    """The known readings, then all others that occur, in order of name."""
+    if df.isStreaming:
+        return KNOWN_READINGS
+    seen = {r[0] for r in df.select("sensor").distinct().collect()} - {None}
+    return [*KNOWN_READINGS, *sorted(seen.difference(KNOWN_READINGS))]
+
+
 def assemble_rows(
     df: DataFrame, sequence: str, readings: list[str] | None = None, machine: str = "id_machine", at: str = "timestamp"
 ) -> DataFrame:
@@ -119,7 +131,7 @@ def messages_to_long(df: DataFrame, payload: str = "value") -> DataFrame:
     return (
         parsed.withColumn("id_machine", F.coalesce(F.col("_m").getItem("id_machine"), F.lit("unknown")))
         .withColumn("sensor", F.col("_s.key"))
-        .withColumn("value_number", F.expr("try_cast(_s.value AS double)"))
+        .withColumn("value_number", F.expr("nanvl(try_cast(_s.value AS double), null)"))
         .withColumn("sensor_timestamp", F.expr("try_cast(_m['timestamp'] AS timestamp_ntz)"))
         .withColumn("accepted", F.col("sensor").isNotNull() & F.col("value_number").isNotNull())
         .drop("_m", "_s")

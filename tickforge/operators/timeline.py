@@ -48,8 +48,8 @@ def surely_small(df: DataFrame, block_rows: int) -> bool:
 
     Sums Spark's size of each table the plan reads, once per table: joins here add
     columns, not rows, so output estimates (products of sizes) would say nothing. A row
-    with a distinct timestamp takes more than four bytes in any file. A wrong answer
-    only costs a larger task, never a result.
+    with a distinct timestamp takes more than four bytes in most files. A wrong answer
+    only costs a larger task, never a result: no step chooses its method by it.
     """
     if not hasattr(df, "_jdf"):  # remote session: no plan at hand
         return False
@@ -140,7 +140,6 @@ class Timeline:
         self.order = list(order)
         self.block_rows = block_rows or BLOCK_ROWS
         counted = df if plan_on is None else plan_on
-        self.small = surely_small(counted, self.block_rows)
         cells = plan_cells(counted, self.keys, self.order[0], self.block_rows)
         self.split = bool(cells)
         self._steps = 0
@@ -173,7 +172,7 @@ class Timeline:
         other = object.__new__(Timeline)
         other._steps = self._steps + steps
         other.keys, other.order, other.block_rows = self.keys, self.order, self.block_rows
-        other.split, other.small = self.split, self.small
+        other.split = self.split
         other._df = df
         return other
 

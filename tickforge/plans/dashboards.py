@@ -79,10 +79,9 @@ def downtime_matrix(
     # A pair unknown on the reference side has neither type nor label.
     known = F.col("type_machine").isNotNull() & F.col("label_gmao").isNotNull()
     matched = matched.withColumns({c: F.when(known, F.col(c)) for c in [*by, "label_gmao"]})
-    listed = groups.select(*by).distinct().withColumn("_l", F.lit(1)).join(
-        labels.select("label_gmao").distinct().withColumn("_l", F.lit(1)), "_l"
-    )
-    empty = listed.select(*by, "label_gmao")
+    # The few alert labels travel as one array; no join pairs them with the groups.
+    names = labels.agg(F.collect_set("label_gmao")).scalar()
+    empty = groups.select(*by).distinct().withColumn("label_gmao", F.explode(names))
     rows = matched.select(*by, "label_gmao", "nb_pannes", "temps_arret_secondes", "temps_arret_pct")
     return (
         rows.unionByName(empty, allowMissingColumns=True)

@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickforge.operators.ordering import SMALL_ROWS
-from tickforge.operators.timeline import Timeline, surely_small
+from tickforge.operators.ordering import exact_cut_points
+from tickforge.operators.timeline import Timeline
 
 GRID_DAYS = 0.1
 
@@ -340,25 +341,19 @@ def mean_auc(auc: DataFrame, test: DataFrame, time: str, event: str) -> DataFram
 # -- feature ranking ---------------------------------------------------------------------
 
 
-def mutual_information(df: DataFrame, features: list[str], target: str, bins: int = 16) -> DataFrame:
+def mutual_information(
+    df: DataFrame, features: list[str], target: str, bins: int = 16, small_rows: int | None = None
+) -> DataFrame:
     """(feature, mi): information shared with the target after binning both by quantile.
 
-    Cut points come from one pass of mergeable sketches over all columns (exact on small
-    tables); joint counts from a second one, reduced on the map side to at most
-    bins x bins cells per feature.
+    Cut points are exact at every size; joint counts come from a second pass, reduced on
+    the map side to at most bins x bins cells per feature.
     """
     names = [*features, target]
-    marks = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    exact = surely_small(df, SMALL_ROWS)
-
-    def quantiles(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return F.percentile(value, marks) if exact else F.percentile_approx(value, marks, 10_000)
-
-    cuts = df.agg(*[quantiles(c).alias(c) for c in names]).first()
+    cuts = exact_cut_points(df, {c: F.col(c) for c in names}, [i / bins for i in range(1, bins)], small_rows)
 
     def bin_of(c: str) -> Column:
-        edges = sorted(set(cuts[c] or []))
+        edges = cuts[c]
         total = F.lit(0)
         for e in edges:
             total = total + F.when(F.col(c) > e, 1).otherwise(0)

@@ -147,7 +147,7 @@ def hot_names(labels: dict[str, list[str]], kept: list[str]) -> list[str]:
 
 
 def evaluate(
-    train: DataFrame, test: DataFrame, model: CoxModel, rows: int | None = SCORED_ROWS, key: str = "timestamp"
+    train: DataFrame, test: DataFrame, model: CoxModel, rows: int | None = None, key: str = "timestamp"
 ) -> dict:
     """c-index and AUC per horizon. ``rows`` draws a fixed random subset, as a sampling
     operator; None scores the whole test set, which the exact rank counts allow."""
@@ -172,7 +172,7 @@ def train(
     top_k: int = TOP_FEATURES,
     recent_days: float = RECENT_DAYS,
     alpha: float = 0.1,
-    scored_rows: int | None = SCORED_ROWS,
+    scored_rows: int | None = None,
     categorical: list[str] = CATEGORICAL,
     always: list[str] = ALWAYS_KEPT,
 ) -> Bundle:

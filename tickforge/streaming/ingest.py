@@ -50,7 +50,10 @@ def known_sensors(long: DataFrame) -> DataFrame:
 
 
 def without_repeats(long: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drops repeated (machine, sensor, event time) within the delay."""
+    """Drops repeated (machine, sensor, event time) within the delay.
+
+    For live figures only: the watermark also drops rows that come later than the delay.
+    """
     marked = long.withColumn("event_at", F.col("sensor_timestamp").cast("timestamp")).withWatermark("event_at", delay)
     return marked.dropDuplicatesWithinWatermark(["id_machine", "sensor", "event_at"]).drop("event_at")
 
@@ -58,15 +61,24 @@ def without_repeats(long: DataFrame, delay: str = "10 minutes") -> DataFrame:
 def start_export(
     long: DataFrame, path: str, checkpoint: str, every: str | None = "5 minutes"
 ) -> StreamingQuery:
-    """Appends readings to date-partitioned Parquet; the checkpoint keeps each row once."""
-    writer = (
-        long.withColumn("date", F.to_date("sensor_timestamp"))
-        .writeStream.format("parquet")
-        .partitionBy("date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    """Writes every reading to date-partitioned Parquet, however late it comes.
+
+    A reading of a (machine, sensor, event time) that is already stored replaces it, the last to
+    arrive wins, and a repeated batch changes nothing. Readings without event time go to
+    the partition without date.
+    """
+    from tickforge.sources.sinks import upsert_days
+
+    key = ["id_machine", "sensor", "sensor_timestamp", "date"]
+
+    def merge(batch: DataFrame, _: int) -> None:
+        dated = batch.withColumn("date", F.to_date("sensor_timestamp")).persist()  # read once, counted once
+        try:
+            upsert_days(batch.sparkSession, dated, path, key, ["time", "value"])
+        finally:
+            dated.unpersist()
+
+    writer = long.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
