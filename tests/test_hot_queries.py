@@ -9,7 +9,20 @@ from tickforge.operators import ordering, reference, timeline
 catalog.load_all()
 
 
-@pytest.mark.parametrize("name", ["since_last_stop", "spike_mad", "asof_forward_next_start", "c_index", "train_test_split"])
+NAMES = [
+    "since_last_stop",
+    "spike_mad",
+    "asof_forward_next_start",
+    "c_index",
+    "train_test_split",
+    "mutual_information_rank",
+    "gap_interpolation",
+    "episodes_by_type",
+    "median_impute",
+]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_cut_equals_whole(spark, sf_dir, name, monkeypatch):
     whole = rows(catalog.QUERIES[name](spark, sf_dir))
     monkeypatch.setattr(timeline, "BLOCK_ROWS", 15)

@@ -65,3 +65,15 @@ def test_cells_fit(hot):
 def test_row_count_is_kept(hot):
     line = Timeline(hot, ["k"], ["t"], block_rows=40).frames({"n": (F.count("v"), 50, 50)})
     assert line.df.count() == hot.count()
+
+
+def test_rows_without_a_key_are_cut_too(spark):
+    df = spark.range(1500).selectExpr("CAST(null AS string) AS k", "id AS at", "id % 7 AS v")
+    line = Timeline(df, ["k"], ["at"], block_rows=100)
+    assert line.split
+    out = line.running_sum({"s": F.col("v")}).df.orderBy("at").collect()
+    want = 0
+    for r in out:
+        want += r["v"]
+        assert r["s"] == want
+    assert len(out) == 1500

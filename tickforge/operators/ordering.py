@@ -82,17 +82,17 @@ def exact_cut_points(
 def _quantiles(flat: DataFrame, wanted: dict[str, tuple[str, float]], small_rows: int | None, block_rows: int | None) -> DataFrame:
     """``wanted`` maps an output name to (column of ``flat``, quantile)."""
     limit = small_rows if small_rows is not None else SMALL_ROWS
-    if flat.count() <= limit:
+    sources = sorted({c for c, _ in wanted.values()})
+    counted = flat.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(f"`{c}`").alias(c) for c in sources]).first()
+    if counted["_rows"] <= limit:
         return flat.agg(*[F.percentile(F.col(f"`{c}`"), F.lit(q)).alias(n) for n, (c, q) in wanted.items()])
-    sketch = flat.agg(
-        *[
-            F.percentile_approx(f"`{c}`", F.array(F.lit(max(0.0, q - _BRACKET)), F.lit(min(1.0, q + _BRACKET))), _SKETCH_ACCURACY).alias(f"b_{n}")
-            for n, (c, q) in wanted.items()
-        ],
-        *[F.count(f"`{c}`").alias(f"n_{n}") for n, (c, _) in wanted.items()],
-    ).first()
-    sizes = {n: sketch[f"n_{n}"] for n in wanted}
-    bounds = {n: sketch[f"b_{n}"] if sizes[n] else [0.0, 0.0] for n in wanted}
+    marks = {}
+    for n, (c, q) in wanted.items():
+        reach = max(_BRACKET, 2.0 / max(1, counted[c]))  # both neighbours of the quantile lie inside
+        marks[n] = F.array(F.lit(max(0.0, q - reach)), F.lit(min(1.0, q + reach)))
+    sketch = flat.agg(*[F.percentile_approx(f"`{c}`", marks[n], _SKETCH_ACCURACY).alias(n) for n, (c, _) in wanted.items()]).first()
+    sizes = {n: counted[c] for n, (c, _) in wanted.items()}
+    bounds = {n: sketch[n] if sizes[n] else [0.0, 0.0] for n in wanted}
     below = flat.agg(*[F.count_if(F.col(f"`{c}`") < bounds[n][0]).alias(n) for n, (c, _) in wanted.items()]).first()
     inside = F.explode(
         F.array(

@@ -48,8 +48,8 @@ def surely_small(df: DataFrame, block_rows: int) -> bool:
 
     Sums Spark's size of each table the plan reads, once per table: joins here add
     columns, not rows, so output estimates (products of sizes) would say nothing. A row
-    with a distinct timestamp takes more than four bytes in most files. A wrong answer
-    only costs a larger task, never a result: no step chooses its method by it.
+    is taken to need a sixteenth of a byte at least; everything larger is counted. A wrong
+    answer only costs a larger task, never a result: no step chooses its method by it.
     """
     if not hasattr(df, "_jdf"):  # remote session: no plan at hand
         return False
@@ -58,7 +58,7 @@ def surely_small(df: DataFrame, block_rows: int) -> bool:
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         sizes[leaf.semanticHash()] = int(str(leaf.stats().sizeInBytes()))
-    return sum(sizes.values()) <= 4 * block_rows
+    return 16 * sum(sizes.values()) <= block_rows
 
 
 def plan_cells(df: DataFrame, keys: list[str], axis: str, block_rows: int) -> list[tuple]:
@@ -89,7 +89,7 @@ def plan_cells(df: DataFrame, keys: list[str], axis: str, block_rows: int) -> li
         rows = [(*key, lo, width) for key, (lo, width) in open_cells.items()]
         cells = _cell_table(df, keys, rows)
         densest = (
-            slim.join(F.broadcast(cells), keys)
+            _on_keys(slim, F.broadcast(cells), keys, "inner")
             .groupBy(*keys, F.floor((F.col("_x") - F.col("_lo")) / F.col("_w")).alias("_c"))
             .count()
             .groupBy(*keys)
@@ -109,6 +109,13 @@ def plan_cells(df: DataFrame, keys: list[str], axis: str, block_rows: int) -> li
     return [(*key, lo, width) for key, (lo, width) in done.items()]
 
 
+def _on_keys(df: DataFrame, plan: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, null included: rows without a key may be many and are cut too."""
+    plan = plan.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(plan[f"_k_{k}"]) for k in keys])
+    return df.join(plan, on, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def _cell_table(df: DataFrame, keys: list[str], cells: list[tuple]) -> DataFrame:
     """Planned cells as a small local table: at most MAX_SPLIT_KEYS rows."""
     schema = T.StructType(
@@ -147,7 +154,7 @@ class Timeline:
             plan = F.broadcast(_cell_table(df, self.keys, cells))
             cell = F.floor((_axis_number(df, self.order[0]) - F.col("_lo")) / F.col("_w"))
             df = (
-                df.join(plan, self.keys, "left")
+                _on_keys(df, plan, self.keys, "left")
                 .withColumn(_BLOCK, F.coalesce(cell, F.lit(0)).cast("long"))
                 .drop("_lo", "_w")
             )

@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickforge.operators.ordering import SMALL_ROWS
 from tickforge.operators.ordering import exact_cut_points
 from tickforge.operators.timeline import Timeline
 
