@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,21 @@ MIX_B = np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+SLICE_BYTES = 8 << 20
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches in parts of at most ``most`` bytes of text (or one row), so that memory stays bounded."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
+        part = (np.cumsum(size) - size) // most
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for a, b in zip(first, [*first[1:], len(batch)], strict=True):
+            yield batch.slice(int(a), int(b - a))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatters 64-bit values over all bits."""
     x = (x ^ (x >> np.uint64(30))) * MIX_A
@@ -21,11 +36,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: pa.Array, clean: Callable[[str], str] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, clean: Callable[[pa.Array], pa.Array] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased (A-Z) words of every text and their row offsets; null counts as empty.
 
     Words are runs of characters other than blank, tab, line end, vertical tab, form feed and return.
-    ``clean`` is applied to each distinct word of a batch first; words that become empty vanish.
+    ``clean`` is applied to the distinct words of a batch first; words that become empty vanish.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -35,10 +50,8 @@ def word_hashes(texts: pa.Array, clean: Callable[[str], str] | None = None) -> t
     if len(flat) == 0:
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     coded = flat.dictionary_encode()
-    if clean is None:
-        unique = coded.dictionary.cast(pa.binary()).to_pylist()
-    else:
-        unique = [clean(w).encode() for w in coded.dictionary.to_pylist()]
+    distinct = coded.dictionary if clean is None else clean(coded.dictionary)
+    unique = distinct.cast(pa.binary()).to_pylist()
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in unique), np.uint64, len(unique))
     filled = np.fromiter((len(w) > 0 for w in unique), bool, len(unique))
     codes = np.asarray(coded.indices)
