@@ -35,7 +35,9 @@ SPACES = r"[\x20\x09-\x0D]+"
 def _share(text: Column, chars: str) -> Column:
     """Share of the characters that ``chars`` holds."""
     n = F.greatest(F.length(text), F.lit(1))
-    return (F.length(text) - F.length(F.translate(text, chars, ""))) / n
+    # A single sign is found by bytes, which is much cheaper than translating every character.
+    rest = F.replace(text, F.lit(chars), F.lit("")) if len(chars) == 1 else F.translate(text, chars, "")
+    return (F.length(text) - F.length(rest)) / n
 
 
 def _bin(value: Column) -> Column:
