@@ -216,16 +216,16 @@ def train(
 
 
 def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
-    """One-row Parquet table; readers see the old or the new one."""
+    """Adds a version to the Parquet table at ``path``; nothing is deleted, so readers see the old or the new one."""
     text = json.dumps(asdict(bundle), ensure_ascii=False)
-    spark.range(1).select(F.lit(text).alias("bundle"), F.current_timestamp().alias("saved_at")).write.mode("overwrite").parquet(path)
+    spark.range(1).select(F.lit(text).alias("bundle"), F.current_timestamp().alias("saved_at")).write.mode("append").parquet(path)
 
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle | None:
-    """The stored bundle, or None when there is none yet."""
+    """The newest stored bundle, or None when there is none yet."""
     if not exists(spark, path):
         return None
-    data = json.loads(spark.read.parquet(path).first()["bundle"])
+    data = json.loads(spark.read.parquet(path).agg(F.max_by("bundle", "saved_at").alias("bundle")).first()["bundle"])
     model = CoxModel(**data.pop("model"))
     return Bundle(model=model, **data)
 

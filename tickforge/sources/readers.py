@@ -153,10 +153,13 @@ def read_recent_days(spark: SparkSession, path: str, days: float, partition: str
     the partitions of the window are scanned.
     """
     df = spark.read.parquet(path)
-    newest = df.agg(F.max(partition).alias("d")).first()["d"]
-    if newest is None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [x.getPath().getName() for x in listed if x.isDirectory()]
+    found = [n.partition("=")[2] for n in names if n.startswith(f"{partition}=") and "__HIVE" not in n]
+    if not found:
         return df
-    return df.filter(F.col(partition) >= F.date_sub(F.lit(newest), int(days)))
+    return df.filter(F.col(partition) >= F.date_sub(F.lit(max(found)).cast("date"), int(days)))
 
 
 def tables(spark: SparkSession) -> list[str]:

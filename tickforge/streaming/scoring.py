@@ -65,12 +65,16 @@ def start_scoring(
     checkpoint: str,
     every: str | None = "60 seconds",
 ) -> StreamingQuery:
-    """Appends one prediction per machine and tick to a Parquet table."""
+    """Writes one prediction per machine and tick to a Parquet table, one partition ``batch`` a tick.
+
+    A tick that runs again after a failure replaces its partition, so no prediction repeats.
+    """
     stops = stop_status_ids(references.get().lookups["production_status"], STOP_STATUSES)
     state = machine_state(long, F.array(*[F.lit(i).cast("long") for i in stops]))
 
-    def tick(batch: DataFrame, _: int) -> None:
-        score_state(batch, references.get()).write.mode("append").parquet(path)
+    def tick(batch: DataFrame, number: int) -> None:
+        scored = score_state(batch, references.get()).withColumn("batch", F.lit(number).cast("long"))
+        scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     # Complete mode hands every known machine to each tick, changed or not.
     writer = state.writeStream.outputMode("complete").foreachBatch(tick).option("checkpointLocation", checkpoint)
