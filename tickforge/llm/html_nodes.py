@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -213,6 +214,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
     above = [(0, 0, 0, 0)] * n
     before = [0] * n
     seen = 0
+    kinds: dict[int, Counter] = {}  # tags of the children by parent
     rows = []
     log = math.log1p
     for i, x in enumerate(nodes):
@@ -228,7 +230,9 @@ def features(nodes: list[Node]) -> list[list[float]]:
                 q[3] or up.tag in LANDMARKS,
             )
             family = up.children
-            alike = sum(1 for s in family if s.tag == x.tag) if len(family) < 64 else 64
+            if p not in kinds:
+                kinds[p] = Counter(s.tag for s in family)
+            alike = kinds[p][x.tag]
             others = max(1, len(family) - 1)
             sibling_chars = (chars[p] - own[p] - chars[i]) / others
             sibling_links = (link_chars[p] - up.link_chars - link_chars[i]) / max(1, chars[p] - own[p] - chars[i])
