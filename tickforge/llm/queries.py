@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickforge.catalog import query
-from tickforge.llm import decontamination, exact_dedup, html_extract, language_id, lm_scoring, mixing, ngram_join, secret_scan, token_counts, toxicity
+from tickforge.llm import decontamination, exact_dedup, fingerprints, html_extract, language_id, lm_scoring, mixing, ngram_join, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,3 +60,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.query(documents(spark, sf_dir))
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.query(documents(spark, sf_dir))
