@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickforge.catalog import query
-from tickforge.llm import decontamination, exact_dedup, fingerprints, html_extract, language_id, lm_scoring, mixing, ngram_join, resampling, secret_scan, token_counts, toxicity
+from tickforge.llm import collocations, decontamination, exact_dedup, fingerprints, html_extract, language_id, lm_scoring, mixing, ngram_join, resampling, secret_scan, token_counts, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,3 +70,8 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_resampling")
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.query(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op11_collocations", collocations.ORACLE)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.query(documents(spark, sf_dir))
