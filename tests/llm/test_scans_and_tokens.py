@@ -1,12 +1,15 @@
 import hashlib
+import math
 import random
 import re
+import time
 
 import pytest
 
 from tickforge.llm import secret_scan, token_counts
 
-RANKS = {w: i + 1 for i, w in enumerate("the of and password love monkey dragon required secret summer".split())}
+WORD_RANKS = {w: i + 1 for i, w in enumerate("the of and password love monkey dragon required secret summer été".split())}
+RANKS = secret_scan.Ranks(WORD_RANKS)
 
 
 def brute_base(text):
@@ -32,6 +35,55 @@ def test_base_spans_equal_brute_force():
         assert secret_scan.base_spans(text) == brute_base(text)
 
 
+def segment_prices(value, i, j):
+    """Prices of one segment, each kind by its definition."""
+    piece, s = value[i:j], secret_scan
+    yield sum(map(s._char_cost, piece))
+    if j - i >= 3:
+        cost = s._word_cost(piece, WORD_RANKS)
+        if cost is not None and len(piece.lower()) == len(piece):
+            yield cost
+        if all(map(s._near, piece, piece[1:])):
+            keys = [s.PLACE[s.SHIFTED.get(c, c.lower())] for c in piece]
+            moves = [(b[0] - a[0], b[1] - a[1]) for a, b in zip(keys, keys[1:])]
+            yield s.WALK + s.TURN * (1 + sum(a != b for a, b in zip(moves, moves[1:])))
+        for size in range(1, len(piece) // 2 + 1):
+            if len(piece) % size == 0 and piece == piece[:size] * (len(piece) // size):
+                yield sum(map(s._char_cost, piece[:size])) + s.TIMES
+    m = s.DATE.match(value, i)
+    if m and m.end() == j:
+        yield s.DATE_COST
+
+
+def brute_cost(value):
+    best = [0.0] + [math.inf] * len(value)
+    for j in range(1, len(value) + 1):
+        best[j] = min(best[i] + secret_scan.SPLIT + p for i in range(j) for p in segment_prices(value, i, j))
+    return best[-1]
+
+
+def test_costs_equal_brute_force():
+    r = random.Random(5)
+    parts = ["a", "b", "ab", "qwe", "asd", "1", "19", "2023", "04-15", "P@ss", "word", "the", "LOVE", "-", "--", "é", "été", "İ", "zx", "!"]
+    for _ in range(1500):
+        value = "".join(r.choice(parts) for _ in range(r.randint(1, 6)))[:10]
+        assert abs(secret_scan.guess_cost(value, RANKS) - brute_cost(value)) < 1e-9, value
+
+
+def test_long_values_take_linear_time():
+    for body in ("a" * 100_000, "-" * 100_000, "qwerty" * 16_000):
+        start = time.process_time()
+        secret_scan.added_spans("login: " + body, [], RANKS)
+        assert time.process_time() - start < 3
+
+
+def test_letters_without_a_sign_must_cost_more():
+    assert secret_scan.added_spans("the password is qzvxkwjmplrt", [], RANKS) == [(16, 3, 28)]
+    assert secret_scan.added_spans("the password is required today", [], RANKS) == []
+    blocks = [secret_scan.guess_cost(b * 4, RANKS) for b in ("xkqz", "xkqzv")]
+    assert blocks[1] - blocks[0] < 2  # blocks of five repeat as blocks of four do
+
+
 def test_costs_order_values_by_how_guessable_they_are():
     cheap = ["required", "password", "P@ssw0rd", "aaaaaaaa", "qwertyuiop", "20230415", "summer2023", "abcabcabc"]
     costly = ["xK9#mQ2$vL", "correcthorse", "5aaa9ac60bfe74b24b", "Tr0ub4dor&3x!"]

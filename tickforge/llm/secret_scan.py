@@ -6,8 +6,9 @@ The span of a match is the whole match, in code points, end exclusive.
 Kind ``password`` adds values after a credential word (password, passphrase, pwd, pin, credential, login, secret,
 token, key, and their like) that no pattern covers, when their guess cost reaches ``MIN_COST`` powers
 of ten. The cost is that of the cheapest segmentation into words (by frequency rank in the corpus, with
-capitals and sign-for-letter changes priced in), dates, repeats, keyboard walks and brute-force spans,
-found by dynamic programming. Prose such as "the password is required" is cheap and stays out.
+capitals and sign-for-letter changes priced in), dates, repeats of blocks of up to ``LONGEST`` characters, keyboard
+walks and brute-force spans, found by dynamic programming in time linear in the value. Letters after "is" or "was"
+without a sign must cost ``PROSE_COST``: prose such as "the password is required" stays out, long noise does not.
 
 Defined results: null and empty texts have no spans, base_sha256 is then that of the empty string; rows are never
 merged, so repeated identifiers give one row each; an empty table gives no rows and an empty word list.
@@ -16,14 +17,18 @@ merged, so repeated identifiers give one row each; an empty table gives no rows
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickforge.llm.words import slices
+
 # The patterns of the three kinds.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -39,14 +44,20 @@ CONTEXT = re.compile(
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 CONTEXT_WORDS = ("pass", "pwd", "credential", "login", "secret", "token", "api", "access", "pin")
 MIN_COST = 8.0
+PROSE_COST = 14.0  # of values of letters only that no sign introduces, as in "the password is required"
 WORDS = 20_000
-LONGEST = 40
+LONGEST = 64
 
 # Rows of a keyboard, and signs used in place of letters.
 KEYS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 SHIFTED = dict(zip("!@#$%^&*()_+{}:\"<>?", "1234567890-=[];',./", strict=True))
 PLAIN = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "+": "t"})
 PLACE = {c: (x + 0.5 * y, y) for y, row in enumerate(KEYS) for x, c in enumerate(row)}
+SPLIT = math.log10(2)
+TURN = math.log10(4.6)  # one of about so many neighbours of a key
+WALK = math.log10(47 * 20)  # a first key and a length
+TIMES = math.log10(20)  # how often a block is repeated
+DATE_COST = math.log10(365 * 100)
 DATE = re.compile(r"(?:\d{4}[-/._]?\d{2}[-/._]?\d{2}|\d{2}[-/._]?\d{2}[-/._]?(?:\d{4}|\d{2})|(?:19|20)\d{2})")
 
 
@@ -62,19 +73,6 @@ def _near(a: str, b: str) -> bool:
     return p is not None and q is not None and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
 
 
-def _walk_cost(value: str, i: int, j: int) -> float | None:
-    """A run of neighbouring keys: start key, and one of about four neighbours at each turn."""
-    if j - i < 3:
-        return None
-    turns, last = 1, None
-    for a, b in zip(value[i : j - 1], value[i + 1 : j], strict=True):
-        p, q = PLACE[SHIFTED.get(a, a.lower())], PLACE[SHIFTED.get(b, b.lower())]
-        step = (q[0] - p[0], q[1] - p[1])
-        turns += last is not None and step != last
-        last = step
-    return math.log10(47 * (j - i)) + turns * math.log10(4.6)
-
-
 def _word_cost(piece: str, ranks: dict[str, int]) -> float | None:
     lowered = piece.lower()
     cost = None
@@ -93,36 +91,79 @@ def _word_cost(piece: str, ranks: dict[str, int]) -> float | None:
     return cost
 
 
-def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` needs."""
+class Ranks:
+    """Word ranks, and all beginnings of words, so that a look-up stops at the first character that leads nowhere."""
+
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks = ranks
+        self.begins = {w[:i] for w in ranks for i in range(1, len(w) + 1)}
+
+
+def _repeats(value: str) -> dict[int, list[int]]:
+    """By end: block sizes up to ``LONGEST`` whose last two blocks are equal and not themselves repeats of a smaller one."""
+    chars = np.frombuffer(value.encode("utf-32-le"), np.uint32)
+    n, equal, out = len(chars), {}, {}
+    for size in range(1, min(LONGEST, n // 2) + 1):
+        same = np.concatenate([np.zeros(size, bool), chars[size:] == chars[:-size]])
+        at = np.arange(n)
+        equal[size] = at - np.maximum.accumulate(np.where(same, -1, at))  # characters up to here that repeat the block before
+        ends = equal[size] >= size
+        for part in range(1, size):
+            if size % part == 0:
+                ends &= equal[part] < 2 * size - part
+        for j in np.flatnonzero(ends).tolist():
+            out.setdefault(j + 1, []).append(size)
+    return out
+
+
+def guess_cost(value: str, known: Ranks) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` needs.
+
+    Every segment costs ``SPLIT`` besides its own price. Brute-force spans, walks and repeats carry their cost along
+    from character to character, and words are followed by their beginnings: the work is linear in the value.
+    """
     n = len(value)
-    run = [0] * n  # how far back a keyboard walk that ends here begins
-    for i in range(1, n):
-        run[i] = run[i - 1] if _near(value[i - 1], value[i]) else i
-    dates = {(m.start(), m.start() + size) for i in range(n) if (m := DATE.match(value, i)) for size in {m.end() - m.start()}}
+    costs = [_char_cost(c) for c in value]
+    upto = [0.0, *itertools.accumulate(costs)]
     best = [0.0] + [math.inf] * n
-    brute = [False] * (n + 1)
+    words: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: start and cost
+    lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    for spelled in dict.fromkeys((lowered, lowered.translate(PLAIN))):
+        for i in range(n):
+            for j in range(i + 1, min(n, i + LONGEST) + 1):
+                if spelled[i:j] not in known.begins:
+                    break
+                if j - i >= 3 and spelled[i:j] in known.ranks:
+                    words[j].append((i, _word_cost(value[i:j], known.ranks)))
+    for i in range(n):
+        m = DATE.match(value, i)
+        if m:
+            words[m.end()].append((i, DATE_COST))
+    steps = [None] * (n + 1)  # the move on the keyboard that ends at a character
+    for j in range(2, n + 1):
+        if _near(value[j - 2], value[j - 1]):
+            p, q = PLACE[SHIFTED.get(value[j - 2], value[j - 2].lower())], PLACE[SHIFTED.get(value[j - 1], value[j - 1].lower())]
+            steps[j] = (q[0] - p[0], q[1] - p[1])
+    repeats = _repeats(value) if n > 1 else {}
+    brute = walk = math.inf
+    again: dict[int, dict[int, float]] = {}  # by block size: cost of a repeat that ends at each place
     for j in range(1, n + 1):
-        extend = best[j - 1] + _char_cost(value[j - 1]) + (0.0 if brute[j - 1] else math.log10(2))
-        best[j], brute[j] = extend, True
-        options = []
-        for i in range(max(0, j - LONGEST), j - 2):
-            cost = _word_cost(value[i:j], ranks)
-            if cost is not None:
-                options.append(best[i] + cost)
-            if (i, j) in dates:
-                options.append(best[i] + math.log10(365 * 100))
-        if n and j - run[j - 1] >= 3:
-            for i in range(run[j - 1], j - 2):
-                options.append(best[i] + _walk_cost(value, i, j))
-        for size in (1, 2, 3, 4, 6, 8):  # repeats of a block just before
-            times = 1
-            while j - size * (times + 1) >= 0 and value[j - size * (times + 1) : j - size * times] == value[j - size : j]:
-                times += 1
-                if times * size >= 3:
-                    options.append(best[j - size * times] + sum(map(_char_cost, value[j - size : j])) + math.log10(times))
-        if options and (low := min(options) + math.log10(2)) < best[j]:
-            best[j], brute[j] = low, False
+        brute = costs[j - 1] + min(brute, best[j - 1] + SPLIT)
+        low = brute
+        if steps[j] is None:
+            walk = math.inf
+        elif j >= 3 and steps[j - 1] is not None:
+            turn = TURN if steps[j] != steps[j - 1] else 0.0
+            walk = min(walk + turn, best[j - 3] + SPLIT + WALK + TURN + turn)
+            low = min(low, walk)
+        for size in repeats.get(j, ()):
+            line = again.setdefault(size, {})
+            before = line.get(j - size, math.inf)
+            line[j] = min(before, best[j - 2 * size] + SPLIT + upto[j] - upto[j - size] + TIMES)
+            low = min(low, line[j] if size > 1 else before)  # three characters at least
+        for i, cost in words[j]:
+            low = min(low, best[i] + SPLIT + cost)
+        best[j] = low
     return best[n]
 
 
@@ -138,7 +179,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def added_spans(text: str, base: list[tuple[int, int, int]], ranks: dict[str, int]) -> list[tuple[int, int, int]]:
+def added_spans(text: str, base: list[tuple[int, int, int]], ranks: Ranks) -> list[tuple[int, int, int]]:
     """Costly values in credential contexts outside the base spans."""
     found = []
     lowered = text.lower()
@@ -150,9 +191,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], ranks: dict[str, in
         if len(value) < 4 or any(a < end and start < b for a, _, b in base):
             continue
         told = any(c in m[0][: start - m.start()] for c in ":=>")
-        if not told and value.isalpha():
-            continue
-        if guess_cost(value, ranks) >= MIN_COST:
+        if guess_cost(value, ranks) >= (PROSE_COST if value.isalpha() and not told else MIN_COST):
             found.append((start, 3, end))
     return found
 
@@ -162,14 +201,14 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def word_ranks(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
-    """Ranks of the ``WORDS`` most frequent lower-case words of letters, over all rows."""
+    """Ranks of the ``WORDS`` most frequent lower-case words of 3 to 24 letters of any script, over all rows."""
 
     def count(batches):
-        for batch in batches:
-            texts = pc.ascii_lower(pc.fill_null(batch.column(0), ""))
-            values = pc.ascii_split_whitespace(texts).flatten().value_counts()
-            words, n = values.field("values"), values.field("counts")
-            good = pc.match_substring_regex(words, "^[a-z]{3,24}$")
+        for batch in slices(batches):
+            values = pc.ascii_split_whitespace(pc.fill_null(batch.column(0), "")).flatten().value_counts()
+            words, n = pc.utf8_lower(values.field("values")), values.field("counts")
+            words = pc.replace_substring_regex(words, r"^[^\p{L}]+|[^\p{L}]+$", "")
+            good = pc.match_substring_regex(words, r"^\p{L}{3,24}$")
             yield pa.RecordBatch.from_arrays([words.filter(good), n.filter(good)], names=["word", "n"])
 
     counts = docs.select(docs[text_col].alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -183,8 +222,8 @@ def scan(docs: DataFrame, ranks: dict[str, int], text_col: str = "text", keep: l
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # WORDS entries at most
 
     def find(batches):
-        known = shared.value
-        for batch in batches:
+        known = Ranks(shared.value)
+        for batch in slices(batches):
             out = []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text or "")
