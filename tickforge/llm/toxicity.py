@@ -10,8 +10,8 @@ those near a hit, capitals, punctuation, repeated signs, obfuscated words and th
 lexicon after they are spelt out, length and variety.
 
 Defined results: null and empty texts are scored as texts without words; a label row without label is ignored;
-of repeated labels the higher counts; without any labels the score is 0.5 times the raw margin's
-sigmoid of a constant, so every row gets the same value; repeated rows each get a row.
+of repeated labels the higher counts; repeated rows each get a row. Without labels of both kinds nothing can be told
+apart: no trees are grown, every score is 0, ``predicted`` is 0 and ``keep_clean`` keeps every row.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tickforge.llm import boosting
 from tickforge.llm.samples import hashed_share, id_bucket
+from tickforge.llm.words import carried, carried_slices, slices
 from tickforge.session import checkpoint_dir
 
 SAMPLE_ROWS = 12_000
@@ -134,8 +135,8 @@ class Model:
         self.lexicon, self.begins, self.trees, self.calibrate = lexicon, begins, trees, calibrate
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0)
+        if not texts or not len(self.trees.leaves):  # nothing learnt, nothing accused
+            return np.zeros(len(texts))
         x = np.array([features(t or "", self.lexicon, self.begins) for t in texts])
         return self.calibrate(self.trees.margin(x))
 
@@ -150,14 +151,16 @@ def _labelled(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str,
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(F.col("text").isNotNull())
     checkpoint_dir(docs.sparkSession)
     part = F.pmod(F.xxhash64("id", F.lit("part")), F.lit(10))
-    return texts.join(F.broadcast(some), "id").select(part.alias("part"), "text", "label").checkpoint()
+    # One text a label row, whatever the number of rows with its identifier: the one with the least hash.
+    one = texts.join(F.broadcast(some), "id").groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    return one.select(part.alias("part"), F.col("t.text").alias("text"), "label").checkpoint()
 
 
 def _lexicon(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Words and word beginnings with their log odds for toxic documents."""
 
     def spell(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[tuple, None] = {}
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 distinct = set(words_of(text))
@@ -199,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, id_co
     lexicon, begins = _lexicon(rows.where("part < 5"))
 
     def dense(batches):
-        for batch in batches:
+        for batch in slices(batches):
             x = [features(t, lexicon, begins) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("label"), pa.array(x, pa.list_(pa.float64()))], names=["part", "label", "x"])
 
@@ -215,11 +218,12 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, id_co
 
 def scores(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default all) of every row in struct ``row``, with its score."""
-    rows = docs.select(F.struct(*(docs[c] for c in (docs.columns if keep is None else keep))).alias("row"), docs[text_col].alias("text"))
+    rows = carried(docs, keep, text_col)
 
     def score(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model.score(batch.column("text").to_pylist()), pa.float64())], names=["row", "score"])
+        for batch in carried_slices(batches):
+            found = model.score(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.float64())], names=["row", "score"])
 
     return rows.mapInArrow(score, rows.select("row").schema.add("score", "double"))
 

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 MIX_B = np.uint64(0x94D049BB133111EB)
@@ -29,6 +31,28 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
             yield batch.slice(int(a), int(b - a))
 
 
+def carried(docs: DataFrame, keep: list[str] | None, text_col: str) -> DataFrame:
+    """Struct ``row`` of the kept columns (default all) with the place of the text in it, or ``text`` beside it.
+
+    A text that is kept anyway travels to the workers once.
+    """
+    keep = docs.columns if keep is None else keep
+    row = F.struct(*(docs[c] for c in keep)).alias("row")
+    if text_col in keep:
+        return docs.select(row, F.lit(keep.index(text_col)).alias("at"), F.lit(None).cast("string").alias("text"))
+    return docs.select(row, F.lit(-1).alias("at"), docs[text_col].alias("text"))
+
+
+def carried_slices(batches: Iterable[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of ``carried`` rows with ``text`` filled in, cut as by ``slices``."""
+    for batch in batches:
+        if len(batch):
+            at = batch.column("at")[0].as_py()
+            text = batch.column("row").field(at) if at >= 0 else batch.column("text")
+            rest = {n: batch.column(n) for n in batch.schema.names if n not in ("at", "text")}
+            yield from slices([pa.RecordBatch.from_pydict({**rest, "text": text})], most=most)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatters 64-bit values over all bits."""
     x = (x ^ (x >> np.uint64(30))) * MIX_A
