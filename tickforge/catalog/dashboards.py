@@ -29,7 +29,7 @@ def _chosen(table: str, start: str, end: str) -> str:
 ALERTS = f"{EPISODES_SQL}, {_chosen('alerte', 'debut_alerte', 'fin_alerte')}"
 MAINTENANCE = f"{EPISODES_SQL}, {_chosen('maintenance', 'debut_panne', 'fin_panne')}"
 FIGURES = f"count(*) AS nb_pannes, round(sum(s), 6) AS temps_arret_secondes, round(sum(s) / {SPAN} * 100, 6) AS temps_arret_pct"
-MACHINES = """machines AS (SELECT machine_id AS id_machine, arg_min(type_machine, "timestamp") AS type_machine FROM silver WHERE machine_id <> 'MCH-5' GROUP BY 1)"""
+MACHINES = """machines AS (SELECT machine_id AS id_machine, arg_min(type_machine, "timestamp") AS type_machine FROM silver GROUP BY 1)"""
 SECTORS = """sectors AS (SELECT machine_id AS id_machine, arg_max(secteur, "timestamp") AS secteur FROM silver GROUP BY 1)"""
 
 
@@ -38,8 +38,8 @@ def alerts(spark, folder) -> DataFrame:
 
 
 def machines(spark, folder) -> DataFrame:
-    """Typed machines; one is left out, as machines may be unknown to the reference side."""
-    rows = silver(spark, folder).filter("machine_id <> 'MCH-5'").select("machine_id", "timestamp", "type_machine")
+    """All machines with their types."""
+    rows = silver(spark, folder).select("machine_id", "timestamp", "type_machine")
     types = number_labels(rows, "type_machine")
     return D.typed_machines(machine_types(rows, types), types)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickforge.catalog import query
 from tickforge.catalog.silver import EPISODES_SQL, SENSOR_VIEW, SILVER_SQL, events, mean6, r6, silver, us
 from tickforge.operators.cleaning import fill_gaps, flag_stuck, remove_spikes
-from tickforge.operators.episodes import alert_and_maintenance_episodes, build_episodes, sector_history, split_by_prefix
+from tickforge.operators.episodes import alert_and_maintenance_episodes, build_episodes, episodes_by_kind, sector_history, split_by_prefix
 from tickforge.operators.features import (
     build_features,
     censoring_type,
@@ -68,6 +68,21 @@ def alert_maintenance_episodes(spark, folder):
     return a.unionByName(m)
 
 
+
+@query(
+    "episodes_one_pass",
+    f"""WITH {EPISODES_SQL}
+SELECT 'alerte' AS kind, id_machine, id_alerte AS id, epoch_us(debut_alerte) AS start_us, epoch_us(fin_alerte) AS end_us FROM alerte
+UNION ALL SELECT 'maintenance', id_machine, id_panne, epoch_us(debut_panne), epoch_us(fin_panne) FROM maintenance""",
+)
+def episodes_one_pass(spark, folder):
+    """Both kinds of episodes from one scan of the labelled rows."""
+    rows = silver(spark, folder).select("event_id", "timestamp", "machine_id", "label_gmao")
+    alerts, maintenances = alert_and_maintenance_references(rows)
+    found = episodes_by_kind(rows, alerts, maintenances)
+    return found.select("kind", "id_machine", "id", us("start"), us("end"))
+
+
 @query(
     "sector_history",
     f"""WITH {SILVER_SQL}, m AS (

@@ -179,14 +179,10 @@ def training_features(spark, folder) -> DataFrame:
     return feature_rows(spark, folder).drop("event_id")
 
 
-# One column per machine suits a plant of a few machines, not the many users seen here.
-FLEET = {"categorical": [c for c in CATEGORICAL if c != "machine_id"], "always": ["age_jours"]}
-
-
 @query("trained_model")
 def trained_model(spark, folder):
     """Train end to end on all rows; one row of metrics per trained model."""
-    bundle = train(training_features(spark, folder), top_k=8, scored_rows=None, **FLEET)
+    bundle = train(training_features(spark, folder))
     m = bundle.metrics
     return spark.range(1).select(
         F.lit(len(bundle.kept)).alias("n_kept"),
@@ -213,7 +209,7 @@ def scored_machines(spark, folder):
     readings, maintenance, nominal, lookups, alert = training_inputs(spark, folder)
     wide = training_frame(readings, maintenance, nominal, lookups, alert)
     stored = readings.withColumnRenamed("id_machine", "machine_id")
-    refs.bundle = train(build_features(wide, plan_on=stored), top_k=6, scored_rows=None, **FLEET)
+    refs.bundle = train(build_features(wide, plan_on=stored))
     stops = stop_status_ids(lookups["production_status"], STOP_STATUSES)
     state = machine_state(long, F.array(*[F.lit(i).cast("long") for i in stops]))
     return score_state(state, refs).drop("time")

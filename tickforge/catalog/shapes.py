@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tickforge.catalog import query
@@ -20,6 +22,8 @@ from tickforge.operators.reshape import (
     tick_lines,
     wide_to_long,
 )
+from tickforge.session import checkpoint_dir
+from tickforge.sources.readers import read_master_data
 from tickforge.sources.sinks import alert_lines, maintenance_lines, nominal_lines, reading_lines
 
 LONG_SQL = " UNION ALL ".join(
@@ -258,16 +262,16 @@ def value_counts(spark, folder):
 
 @query(
     "series_per_machine",
-    "SELECT epoch_us(date_trunc('day', ts)) AS day_us, "
-    + ", ".join(f"max(value) FILTER (WHERE user_id = {u}) AS m{u}" for u in (1, 2, 3))
-    + " FROM events GROUP BY 1",
+    "SELECT epoch_us(date_trunc('day', ts)) AS day_us, 'm' || user_id AS id_machine, max(value) AS value FROM events GROUP BY ALL HAVING max(value) IS NOT NULL",
 )
 def machine_series(spark, folder):
-    """Largest value per day, one column per chosen machine."""
+    """Largest value per day with a column for every machine found, read back as rows."""
     daily = events(spark, folder).groupBy(F.date_trunc("day", "ts").alias("time"), F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("id_machine")).agg(
         F.max("value").alias("value")
     )
-    return series_per_machine(daily, "value", ["m1", "m2", "m3"]).select(us("time", "day_us"), "m1", "m2", "m3")
+    wide = series_per_machine(daily, "value")
+    long = wide.unpivot("time", [c for c in wide.columns if c != "time"], "id_machine", "value").filter(F.col("value").isNotNull())
+    return long.select(us("time", "day_us"), "id_machine", "value")
 
 
 @query(
@@ -275,5 +279,8 @@ def machine_series(spark, folder):
     "SELECT c_custkey, c_name FROM customer",
 )
 def master_data_fields(spark, folder):
-    """Two fields of a master-data list; only those columns are read."""
-    return table(spark, folder, "customer").select("c_custkey", "c_name")
+    """Two fields of a master-data dump with one object a line; only those fields are parsed."""
+    place = f"{checkpoint_dir(spark)}/master-data-{uuid.uuid4().hex}"
+    table(spark, folder, "customer").select(F.to_json(F.struct("*")).alias("value")).write.text(place)
+    fields = read_master_data(spark, place, ["c_custkey", "c_name"])
+    return fields.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tickforge.catalog import query
@@ -12,8 +14,10 @@ from tickforge.operators.features import is_stop
 from tickforge.operators.reference import drop_rows_mentioning
 from tickforge.operators.reshape import wide_to_long
 from tickforge.plans.training import recent, time_split
+from tickforge.session import checkpoint_dir
 from tickforge.sources import readers
-from tickforge.sources.sinks import cold_rows, day_manifest, latest_by_key, pending_rows, retained, split_past_present
+from tickforge.sources.commits import export_committed, read_committed
+from tickforge.sources.sinks import cold_rows, day_manifest, latest_by_key, pending_rows, retained, split_past_present, write_tick_files
 
 
 def ts(text: str):
@@ -192,3 +196,69 @@ def recency_window(spark, folder):
 )
 def ordered_rows(spark, folder):
     return events(spark, folder).orderBy("user_id", "ts", "event_id").select("event_id", "user_id", us("ts"))
+
+
+def fresh_folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "committed_export",
+    """SELECT CAST(ts AS DATE) AS date, count(*) AS n_rows, count(DISTINCT event_id) AS n_events, sum(event_id)::BIGINT AS ids, '2024-01-20 11:59:30.000000' AS checkpoint
+FROM events WHERE ts <= TIMESTAMP '2024-01-20 11:59:30' GROUP BY 1""",
+)
+def committed_export(spark, folder):
+    """Three exports, one of them after a job that died between data and commit: every row once."""
+    staging = events(spark, folder).select("event_id", F.col("ts").alias("sensor_timestamp"), F.col("ts").alias("time"))
+    root = fresh_folder(spark, "export")
+    export_committed(spark, staging, root, "2024-01-09 00:00:00")
+    staging.filter("time > timestamp_ntz'2024-01-08 23:59:30'").withColumn("date", F.to_date("time")).write.partitionBy("date").parquet(
+        f"{root}/readings/batch=died"
+    )
+    export_committed(spark, staging, root, "2024-01-20 12:00:00")
+    checkpoint = export_committed(spark, staging, root, "2024-01-15 00:00:00")
+    rows = read_committed(spark, root, "readings", staging.withColumn("date", F.to_date("time")).schema)
+    per_day = rows.groupBy("date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_events"), F.sum("event_id").alias("ids")
+    )
+    return per_day.withColumn("checkpoint", F.lit(checkpoint))
+
+
+@query(
+    "tick_files",
+    """WITH t AS (SELECT event_id, ts, dense_rank() OVER (ORDER BY ts) AS tick FROM events)
+SELECT (tick - 1) // 50 AS chunk, count(*) AS n_rows, count(DISTINCT ts) AS n_ticks, sum(event_id)::BIGINT AS ids, epoch_us(min(ts)) AS first_us, 1 AS n_files FROM t GROUP BY 1""",
+)
+def tick_files(spark, folder):
+    """Fifty instants a file, over the whole table."""
+    place = fresh_folder(spark, "ticks")
+    write_tick_files(events(spark, folder).select("event_id", "ts"), place, 50, "ts")
+    stored = spark.read.parquet(place).withColumn("file", F.col("_metadata.file_path"))
+    return stored.groupBy(F.col("chunk").cast("long").alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("ts").alias("n_ticks"),
+        F.sum("event_id").alias("ids"),
+        F.unix_micros(F.min("ts").cast("timestamp")).alias("first_us"),
+        F.count_distinct("file").cast("int").alias("n_files"),
+    )
+
+
+@query(
+    "free_record_fields",
+    """SELECT epoch_us(ts) AS us, user_id::VARCHAR AS id_machine, unnest(['iot_temperature', 'k', 'new_sensor']) AS field,
+  unnest([event_id::VARCHAR, json_extract_string(props, '$.k'), event_type]) AS value FROM events""",
+)
+def free_record_fields(spark, folder):
+    """Records with fields no schema knows, written as tick lines and read back field by field."""
+    record = F.struct(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("user_id").cast("string").alias("id_machine"),
+        F.col("event_id").alias("iot_temperature"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.col("event_type").alias("new_sensor"),
+    )
+    lines = events(spark, folder).groupBy("ts").agg(F.to_json(F.collect_list(record)).alias("value"))
+    place = fresh_folder(spark, "lines")
+    lines.select("value").write.text(place)
+    fields = readers.read_tick_fields(spark, place)
+    return fields.select(F.unix_micros(F.col("timestamp").cast("timestamp")).alias("us"), "id_machine", "field", "value")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from tickforge.catalog import query
 from tickforge.catalog.silver import table, us
 from tickforge.operators.ordering import rank_all
 from tickforge.plans import star
+from tickforge.session import checkpoint_dir
+from tickforge.sources.commits import read_committed
 
 LOG_SQL = """log AS (SELECT 'duel_' || strftime(date_trunc('year', l_shipdate), '%Y%m%d_%H%M%S') AS run_name, CAST(l_orderkey AS VARCHAR) AS match_id,
   'P' || l_partkey AS agent1_id, 'S' || l_suppkey AS agent2_id, l_linenumber AS turn, l_shipdate, l_extendedprice,
@@ -99,3 +103,32 @@ def conversation_matches(spark, folder):
     return rows.groupBy("conv_id").agg(
         F.max_by("role", "turn").alias("last_role"), F.max("turn").alias("total_turns"), F.count(F.lit(1)).alias("n")
     )
+
+
+@query(
+    "star_runs_written",
+    f"""WITH {LOG_SQL}, f AS (SELECT run_name, match_id, agent1_id AS a, agent1_gain AS gain FROM log UNION ALL SELECT run_name, match_id, agent2_id, agent2_gain FROM log)
+SELECT sha256(run_name) AS run_id, count(*) AS n_facts, sum(gain)::BIGINT AS gain, count(DISTINCT match_id) AS n_matches, count(DISTINCT a) AS n_agents, count(DISTINCT a) AS n_keys,
+  0 AS written_again FROM f GROUP BY run_name""",
+)
+def star_runs_written(spark, folder):
+    """Three tables a run, written in two starts and read back; a third start writes nothing."""
+    log = game_log(spark, folder)
+    root = f"{checkpoint_dir(spark)}/star-{uuid.uuid4().hex}"
+    last = F.struct("timestamp", "turn", "l_extendedprice", "agent1_id")
+    star.write_runs(spark, log.filter("run_ts < timestamp_ntz'1995-01-01'"), root, last)
+    star.write_runs(spark, log, root, last)
+    again = star.write_runs(spark, log, root, last)
+    keys = keys_of(log)
+    facts, matches, agents = (
+        read_committed(spark, root, name, like.schema)
+        for name, like in (
+            ("fact_turn_play", star.turn_facts(log, keys)),
+            ("dim_match", star.match_dimension(log, keys, last)),
+            ("dim_agent", star.agent_dimension(log, keys)),
+        )
+    )
+    per_run = facts.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_facts"), F.sum("gain").alias("gain"))
+    per_run = per_run.join(matches.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_matches")), "run_id")
+    named = agents.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_agents"), F.count_distinct("agent_key").alias("n_keys"))
+    return per_run.join(named, "run_id").withColumn("written_again", F.lit(again))

@@ -110,3 +110,24 @@ def alert_and_maintenance_episodes(
         maintenance_rows, "id_maintenance", "id_panne", "debut_panne", "fin_panne", ties=ties, block_rows=block_rows
     )
     return alert, maintenance
+
+
+def episodes_by_kind(
+    df: DataFrame,
+    alerts: DataFrame,
+    maintenances: DataFrame,
+    label: str = "label_gmao",
+    ties: list[str] | None = None,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """(kind, start, end, id, id_machine): alert and maintenance episodes of one pass over the labelled rows.
+
+    A run breaks only at rows of its own kind, as if the other kind's rows were not there.
+    """
+    ids = alerts.select(label, "id", F.lit("alerte").alias("kind")).filter(has_prefix(F.col(label), "Alerte"))
+    ids = ids.unionByName(maintenances.select(label, "id", F.lit("maintenance").alias("kind")).filter(has_prefix(F.col(label), "Maintenance")))
+    rows = df.join(ids, label).withColumn("_who", F.concat_ws("|", "kind", "machine_id"))
+    runs = build_episodes(rows, "id", "id", "start", "end", "_who", ties=ties, block_rows=block_rows)
+    kind = F.substring_index("id_machine", "|", 1)
+    machine = F.expr("substring(id_machine, instr(id_machine, '|') + 1)")
+    return runs.select(kind.alias("kind"), "start", "end", "id", machine.alias("id_machine"))

@@ -161,6 +161,8 @@ def one_hot(df: DataFrame, dictionary: dict[str, list], drop_first: bool = True)
     return df.withColumns(flags).drop(*dictionary) if flags else df.drop(*dictionary)
 
 
-def series_per_machine(df: DataFrame, value: str, machines: list[str], machine: str = "id_machine", at: str = "time") -> DataFrame:
-    """One column per named machine and one row per instant."""
-    return df.groupBy(at).pivot(machine, machines).agg(F.first(value, ignorenulls=True))
+def series_per_machine(df: DataFrame, value: str, machines: list[str] | None = None, machine: str = "id_machine", at: str = "time") -> DataFrame:
+    """One column per machine (named ones, by default all that occur) and one row per instant."""
+    grouped = df.groupBy(at)
+    columns = grouped.pivot(machine) if machines is None else grouped.pivot(machine, machines)
+    return columns.agg(F.first(value, ignorenulls=True))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickforge.operators.episodes import alert_and_maintenance_episodes, sector_history
+from tickforge.operators.episodes import episodes_by_kind, sector_history
 from tickforge.operators.reference import (
     alert_and_maintenance_references,
     encode,
@@ -16,7 +16,7 @@ from tickforge.operators.reference import (
 )
 from tickforge.operators.reshape import tick_lines
 from tickforge.schemas import NOMINAL_COLUMNS, NOT_PUBLISHED, PUBLISHED_SENSORS
-from tickforge.sources.sinks import ensure_table, split_past_present, write_cold_storage, write_tick_lines
+from tickforge.sources.sinks import ensure_table, exists, split_past_present, write_cold_storage, write_tick_lines
 
 LABEL_TABLES = {
     "type_metal": "type_metal",
@@ -58,14 +58,19 @@ class GoldTables:
             "type_maintenance": lambda: alert_and_maintenance_references(silver)[1],
             "machine": lambda: machine_types(silver, self["type_machine"]),
             "nominale_values": lambda: nominal_values(silver, self["type_metal"], self["regime_cadence"]),
-            "alerte": lambda: self._episodes()[0],
-            "maintenance": lambda: self._episodes()[1],
+            "alerte": lambda: self._episodes("alerte", "debut_alerte", "fin_alerte", "id_alerte"),
+            "maintenance": lambda: self._episodes("maintenance", "debut_panne", "fin_panne", "id_panne"),
         }
 
-    def _episodes(self) -> tuple[DataFrame, DataFrame]:
-        return alert_and_maintenance_episodes(
-            self.silver, self["type_alerte"], self["type_maintenance"], self.ties
-        )
+    def _episodes(self, kind: str, start: str, end: str, id_name: str) -> DataFrame:
+        """Episodes of one kind. Both kinds come from one pass over the silver table, written by kind on first use."""
+
+        place = f"{self.folder}/episodes"
+        if not exists(self.spark, place):
+            both = episodes_by_kind(self.silver, self["type_alerte"], self["type_maintenance"], ties=self.ties)
+            both.write.mode("errorifexists").partitionBy("kind").parquet(place)
+        rows = self.spark.read.parquet(place).filter(F.col("kind") == kind)
+        return rows.select(F.col("start").alias(start), F.col("end").alias(end), F.col("id").alias(id_name), "id_machine")
 
     def __getitem__(self, name: str) -> DataFrame:
         return ensure_table(self.spark, f"{self.folder}/{name}", self._builders[name])

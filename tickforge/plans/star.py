@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickforge.functions import run_id, run_timestamp
 from tickforge.functions.text import base_name
 from tickforge.operators.reference import extend_keys
 from tickforge.operators.reshape import two_sided_rows
+from tickforge.session import checkpoint_dir
+from tickforge.sources.commits import commits, read_committed, write_batch
+from tickforge.sources.readers import unprocessed
 
 
 def with_run(log: DataFrame, path: Column | None = None) -> DataFrame:
@@ -84,3 +87,33 @@ def agent_dimension(log: DataFrame, keys: DataFrame) -> DataFrame:
     """Agents of each run with their keys."""
     seen = log.select("run_name", F.explode(F.array("agent1_id", "agent2_id")).alias("agent_id")).distinct()
     return _run_fields(seen).join(keys, "agent_id").select("run_id", "agent_key", "agent_id")
+
+
+KEYS = T.StructType([T.StructField("agent_id", T.StringType()), T.StructField("agent_key", T.IntegerType())])
+
+
+def write_runs(spark: SparkSession, log: DataFrame, root: str, sequence: Column, small_rows: int | None = None) -> int:
+    """The three tables of every run not written yet, by run; returns the number of runs written.
+
+    Keys of new agents are stored in the same commit, so an agent keeps its key over all runs, and a second start
+    finds every run done and changes nothing.
+    """
+    checkpoint_dir(spark)
+    done = commits(spark, root, "run").select(F.col("item").alias("run_id"))
+    runs = unprocessed(log.select("run_id").distinct(), done).checkpoint()
+    count = runs.count()
+    if not count:
+        return 0
+    fresh = log.join(runs, "run_id", "left_semi")
+    known = read_committed(spark, root, "agent_keys", KEYS)
+    keys = agent_keys(fresh, known, small_rows).select("agent_id", F.col("agent_key").cast("int").alias("agent_key")).checkpoint()
+    tables = {
+        "fact_turn_play": turn_facts(fresh, keys),
+        "dim_match": match_dimension(fresh, keys, sequence),
+        "dim_agent": agent_dimension(fresh, keys),
+        "agent_keys": keys.join(known.select("agent_id"), "agent_id", "left_anti"),
+    }
+    by_run = {name: ["run_id"] for name in ("fact_turn_play", "dim_match", "dim_agent")}
+    write_batch(spark, root, tables, runs.select(F.lit("run").alias("kind"), F.col("run_id").alias("item")), by_run)
+    return count
+

@@ -54,6 +54,24 @@ def read_tick_lines(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(F.inline("r"))
 
 
+def read_tick_fields(spark: SparkSession, path: str) -> DataFrame:
+    """(timestamp, id_machine, field, value): every field of every record of tick lines, known or not.
+
+    Records are read as variants, so a new sensor needs no new schema. ``value`` is the field's JSON text without the quotes
+    of a string; null fields and lines that are no JSON give no rows.
+    """
+    lines = spark.read.text(path).select(F.try_parse_json("value").alias("line")).filter(F.col("line").isNotNull())
+    record = lines.lateralJoin(spark.tvf.variant_explode(F.col("line").outer())).select(F.col("value").alias("record"))
+    fields = record.lateralJoin(spark.tvf.variant_explode(F.col("record").outer()))
+    named = fields.select(
+        F.try_variant_get("record", "$.timestamp", "string").cast("timestamp_ntz").alias("timestamp"),
+        F.try_variant_get("record", "$.id_machine", "string").alias("id_machine"),
+        F.col("key").alias("field"),
+        F.col("value").cast("string").alias("value"),
+    )
+    return named.filter(~F.col("field").isin("timestamp", "id_machine") & F.col("value").isNotNull())
+
+
 def read_game_log(spark: SparkSession, path: str) -> DataFrame:
     """Game log lines with the file they came from; blank lines are skipped by the reader."""
     df = spark.read.schema(GAME_LOG).json(path)
@@ -127,6 +145,7 @@ def within_days_of_newest(df: DataFrame, at: str, days: float) -> DataFrame:
     return df.filter(F.col(at) >= newest - F.make_dt_interval(secs=F.lit(days * 86400.0)))
 
 
+# Fixed value: the form of window file names.
 WINDOW_NAME = r"^sensor_data_(\d{8}T\d{6}Z)_(\d{8}T\d{6}Z)\.parquet$"
 
 
