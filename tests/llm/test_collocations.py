@@ -74,7 +74,7 @@ def test_a_full_sketch_changes_nothing(spark, monkeypatch):
 
     rows = texts(4)
     frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
-    full = np.full((collocations.WORD_COUNTERS + collocations.PAIR_COUNTERS) // 8, 255, np.uint8)
+    full = np.full(collocations.SIZE // 8, 255, np.uint8)
     monkeypatch.setattr(collocations, "sketch", lambda *a: full)
     assert rows_of(collocations.mine(frame, least=8)) == brute(rows, 8, 2000, 80)
 
