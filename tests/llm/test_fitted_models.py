@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,13 +93,24 @@ def test_filter_never_underrates():
     items, counts = np.unique(r.integers(0, 2**62, 20000)).astype(np.uint64), None
     counts = r.zipf(1.6, len(items)).clip(max=10**6)
     levels = lm_scoring.level_of(counts)
-    segments = math.ceil(levels.sum() * lm_scoring.BITS / lm_scoring.SEGMENT_BITS)
-    part = (lm_scoring.mix(items) % np.uint64(segments)).astype(int)
+    order = np.argsort(items)
+    bits, filled = 3, []
+    batch = lm_scoring.packed(lm_scoring.WORD, items[order], counts[order], bits)
+    for g in sorted(set(batch.column("g").to_pylist())):
+        body = pa.table({"body": [b for b, x in zip(batch.column("body").to_pylist(), batch.column("g").to_pylist()) if x == g]})
+        filled += lm_scoring.fill_group((pa.scalar(lm_scoring.WORD), pa.scalar(g)), body).to_pylist()
+    sizes = np.zeros(8, np.int64)
+    for r in filled:
+        sizes[r["g"]] = r["segments"]
+        if r["h"]:  # exact counts, large ones too
+            got = dict(zip(np.frombuffer(r["h"], np.uint64).tolist(), np.frombuffer(r["c"], np.int64).tolist()))
+            assert all(got[int(i)] == int(n) for i, n in zip(items, counts) if int(i) >> 61 == r["g"])
 
     class Shard:
-        value = b"".join(lm_scoring.fill_segment(items[part == s], levels[part == s], 1) for s in range(segments))
+        def __init__(self, lo, hi):
+            self.value = b"".join(r["bits"] for r in filled if lo <= r["g"] < hi)
 
-    kept = lm_scoring.Filter([Shard], segments, 1)
+    kept = lm_scoring.Filter([Shard(0, 5), Shard(5, 8)], sizes, np.array([0, 5]), bits, 0)
     got = kept.levels(items)
     assert (got >= levels).all() and (got == levels).mean() > 0.99
     assert (kept.levels(lm_scoring.mix(items ^ np.uint64(1))) > 0).mean() < 0.01
