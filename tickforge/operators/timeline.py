@@ -43,22 +43,55 @@ def _axis_number(df: DataFrame, axis: str) -> Column:
     return F.col(axis).cast("double")
 
 
-def surely_small(df: DataFrame, block_rows: int) -> bool:
+# Rows of Parquet scans by their files and size, so that each is counted once a session.
+_ROWS: dict[tuple, int] = {}
+_COUNTED: dict[int, int] = {}
+# Rows that a scanned row may become before a window (one a sensor), and the bytes a row may take when rows are
+# counted: larger scans are not small, and their footers need not be read.
+_SPREAD = 8
+_BYTES_A_ROW = 64
+
+
+def note_rows(df: DataFrame, rows: int) -> None:
+    """Remembers the counted rows of a checkpointed frame, whose plan tells only a guess of its size."""
+    if hasattr(df, "_jdf"):
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        if leaves.size() == 1:
+            _COUNTED[leaves.apply(0).semanticHash()] = rows
+
+
+def _scan_rows(df: DataFrame, leaf, most: int, spread: int) -> int:
+    """Rows that one scanned table may give: from its size where that is small enough, else from Parquet footers."""
+    known = _COUNTED.get(leaf.semanticHash())
+    if known is not None:
+        return spread * known
+    size = int(str(leaf.stats().sizeInBytes()))
+    if 16 * size <= most or size > most * _BYTES_A_ROW or not leaf.getClass().getName().endswith(".LogicalRelation"):
+        return 16 * size
+    relation = leaf.relation()
+    if not relation.getClass().getName().endswith(".HadoopFsRelation") or "Parquet" not in relation.fileFormat().toString():
+        return 16 * size
+    files = tuple(relation.location().inputFiles())
+    if (files, size) not in _ROWS:
+        _ROWS[files, size] = df.sparkSession.read.parquet(*files).count()
+    return spread * _ROWS[files, size]
+
+
+def surely_small(df: DataFrame, block_rows: int, spread: int = _SPREAD) -> bool:
     """True when the scanned tables leave no room for ``block_rows`` rows.
 
-    Sums Spark's size of each table the plan reads, once per table: joins here add
-    columns, not rows, so output estimates (products of sizes) would say nothing. A row
-    is taken to need a sixteenth of a byte at least; everything larger is counted. A wrong
-    answer only costs a larger task, never a result: no step chooses its method by it.
+    Adds up the rows of each table the plan reads, once per table: joins here add columns, not rows, so output
+    estimates (products of sizes) would say nothing. ``spread`` is how many rows a scanned row may become. A wrong answer only costs a larger task, never a result: no
+    step chooses its method by it.
     """
     if not hasattr(df, "_jdf"):  # remote session: no plan at hand
         return False
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = {}
+    scans = {}
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
-        sizes[leaf.semanticHash()] = int(str(leaf.stats().sizeInBytes()))
-    return 16 * sum(sizes.values()) <= block_rows
+        scans.setdefault(leaf.semanticHash(), leaf)
+    return sum(_scan_rows(df, leaf, block_rows, spread) for leaf in scans.values()) <= block_rows
 
 
 def plan_cells(df: DataFrame, keys: list[str], axis: str, block_rows: int) -> list[tuple]:
