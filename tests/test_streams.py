@@ -9,7 +9,8 @@ from tests.conftest import rows
 from tickforge import catalog
 from tickforge.streaming.ingest import known_sensors, message_files, parse_messages, start_export, start_line_flush
 from tickforge.streaming.scoring import Refreshed
-from tickforge.streaming.state import latest_values, machine_state
+from tickforge.streaming import scoring
+from tickforge.streaming.state import compact_state, keyed_state, latest_values, machine_state, read_state, start_state, state_of
 
 catalog.load_all()
 
@@ -69,6 +70,49 @@ def test_export_keeps_late_rows_and_overwrites_repeats(spark, tmp_path):
         assert [r.value for r in got] == [2.0, 3.0, 9.0]
 
 
+def test_the_last_arrival_wins_over_several_batches_and_a_restart(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_ticks(source, [[message(5, "iot_temperature", 1.0), message(5, "iot_temperature", 7.0, "M2")], [message(9, "iot_temperature", 2.0)]])
+    state = latest_values(parse_messages(message_files(spark, str(source), 1)), "time")
+    start_state(state, f"{tmp_path}/out", f"{tmp_path}/c", every=None).awaitTermination()
+    write_ticks(source, [[], [], [message(1, "iot_temperature", 3.0)]])  # late, and after a restart
+    start_state(state, f"{tmp_path}/out", f"{tmp_path}/c", every=None).awaitTermination()
+    got = read_state(spark, f"{tmp_path}/out", ["id_machine", "sensor"])
+    assert rows(got, "id_machine", "value") == [("M1", 3.0), ("M2", 7.0)]
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert stored.groupBy("id_machine").count().filter("id_machine = 'M2'").first()["count"] == 1  # unchanged machines are not written again
+    compact_state(spark, f"{tmp_path}/out", f"{tmp_path}/small", ["id_machine", "sensor"])
+    assert spark.read.parquet(f"{tmp_path}/small").count() == 2
+
+
+def test_state_from_keyed_readings_equals_state_from_readings(spark):
+    r = [("M%d" % (i % 2), "id_status_production" if i % 3 else "iot_vibration_peak", float(i % 4), i) for i in range(40)]
+    long = spark.createDataFrame(r, "id_machine string, sensor string, value double, i int").withColumn(
+        "sensor_timestamp", F.timestamp_seconds("i").cast("timestamp_ntz")
+    )
+    for stops in ([1, 3], [2], []):
+        ids = F.array(*[F.lit(i).cast("long") for i in stops]).cast("array<bigint>")
+        assert rows(state_of(keyed_state(long), ids)) == rows(machine_state(long, ids))
+
+
+def test_a_changed_lookup_counts_from_the_next_tick(spark, tmp_path, monkeypatch):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_ticks(source, [[message(1, "id_status_production", 3), message(2, "id_status_production", 5)], [message(3, "iot_vibration_peak", 1.0)]])
+    versions = iter([3, 5])
+
+    def load():
+        status = spark.createDataFrame([("Panne", next(versions))], "iot_statut_machine string, id long")
+        return scoring.References({"production_status": status}, None, None, None, None)
+
+    monkeypatch.setattr(scoring, "score_state", lambda machines, refs: machines.select("machine_id", "last_stop"))
+    long = parse_messages(message_files(spark, str(source), 1))
+    scoring.start_scoring(long, Refreshed(load, seconds=0), f"{tmp_path}/out", f"{tmp_path}/c", every=None).awaitTermination()
+    got = {r["batch"]: r["last_stop"].minute for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {0: 1, 1: 2}
+
+
 def test_references_survive_a_failed_reload():
     calls = []
 

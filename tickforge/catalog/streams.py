@@ -10,9 +10,9 @@ from tickforge.catalog import query
 from tickforge.catalog.models import live_references
 from tickforge.catalog.silver import events, r6, us
 from tickforge.session import checkpoint_dir, use_utc
-from tickforge.streaming.ingest import parse_messages, start_export
+from tickforge.streaming.ingest import message_files, parse_messages, start_export
 from tickforge.streaming.scoring import Refreshed, start_scoring
-from tickforge.streaming.state import latest_values, machine_state
+from tickforge.streaming.state import latest_values, machine_state, read_state, start_state
 
 
 def place(spark: SparkSession, name: str) -> str:
@@ -78,6 +78,38 @@ def stream_machine_state(spark, folder):
     return state.select("machine_id", us("timestamp", "last_us"), us("last_stop", "stop_us"), "click", "view")
 
 
+def messages_in_files(spark: SparkSession, folder: str, parts: int) -> DataFrame:
+    """The events as message files that arrive one after another, every ``parts``-th event in one; most come late."""
+    path = place(spark, "messages")
+    lines = use_utc(spark).read.parquet(f"{folder}/events.parquet").select(
+        (F.col("event_id") % parts).alias("part"),
+        F.to_json(
+            F.struct(
+                F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+                F.concat(F.lit("M"), F.col("user_id").cast("string")).alias("id_machine"),
+                F.col("value").alias("reading"),
+            )
+        ).alias("value"),
+    )
+    for part in range(parts):
+        lines.filter(F.col("part") == part).select("value").coalesce(1).write.mode("append").text(path)
+    return message_files(spark, path, files_per_trigger=1)
+
+
+@query(
+    "stream_last_arrival",
+    """WITH a AS (SELECT *, event_id % 3 AS arrival FROM events WHERE value IS NOT NULL)
+SELECT 'M' || user_id AS id_machine, arg_max(value, (arrival, ts, value)) AS value, epoch_us(arg_max(ts, (arrival, ts, value))) AS sensor_timestamp_us FROM a GROUP BY 1""",
+)
+def stream_last_arrival(spark, folder):
+    """Three batches of messages: the last to arrive wins, though most of its readings are older; only changes are written."""
+    path = place(spark, "arrivals")
+    long = parse_messages(messages_in_files(spark, folder, 3))
+    start_state(latest_values(long, "time"), f"{path}/out", f"{path}/checkpoint", every=None).awaitTermination()
+    state = read_state(spark, f"{path}/out", ["id_machine", "sensor"])
+    return state.select("id_machine", "value", us("sensor_timestamp"))
+
+
 @query(
     "stream_export",
     """SELECT 'M' || user_id AS id_machine, event_type AS sensor, max(value) AS value, epoch_us(ts) AS sensor_timestamp_us, CAST(ts AS DATE) AS date FROM events GROUP BY user_id, event_type, ts""",

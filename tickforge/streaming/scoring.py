@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickforge.plans.scoring import latest_nominal, machine_context, score_machines
 from tickforge.plans.training import Bundle, load_bundle
 from tickforge.schemas import STOP_STATUSES
-from tickforge.streaming.state import machine_state, stop_status_ids
+from tickforge.streaming.state import keyed_state, state_of, stop_status_ids
 
 log = logging.getLogger(__name__)
 
@@ -67,13 +67,17 @@ def start_scoring(
 ) -> StreamingQuery:
     """Writes one prediction per machine and tick to a Parquet table, one partition ``batch`` a tick.
 
-    A tick that runs again after a failure replaces its partition, so no prediction repeats.
+    A tick that runs again after a failure replaces its partition, so no prediction repeats. Each tick takes one version
+    of all references, the stop statuses among them: a changed lookup counts from the next tick on, for readings
+    that came before it as well.
     """
-    stops = stop_status_ids(references.get().lookups["production_status"], STOP_STATUSES)
-    state = machine_state(long, F.array(*[F.lit(i).cast("long") for i in stops]))
+    state = keyed_state(long)
 
     def tick(batch: DataFrame, number: int) -> None:
-        scored = score_state(batch, references.get()).withColumn("batch", F.lit(number).cast("long"))
+        refs = references.get()
+        stops = stop_status_ids(refs.lookups["production_status"], STOP_STATUSES)
+        machines = state_of(batch, F.array(*[F.lit(i).cast("long") for i in stops]).cast("array<bigint>"))
+        scored = score_state(machines, refs).withColumn("batch", F.lit(number).cast("long"))
         scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
     # Complete mode hands every known machine to each tick, changed or not.
