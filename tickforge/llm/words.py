@@ -16,7 +16,7 @@ MIX_B = np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -29,6 +29,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         for a, b in zip(first, [*first[1:], len(batch)], strict=True):
             yield batch.slice(int(a), int(b - a))
+        pa.default_memory_pool().release_unused()  # a worker serves many tasks after this one
 
 
 def carried(docs: DataFrame, keep: list[str] | None, text_col: str) -> DataFrame:
