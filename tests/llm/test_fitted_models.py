@@ -219,3 +219,21 @@ def test_built_layouts_hold_out():
         want = "\n".join(t for _, t in sorted(run for n, keep in zip(nodes, labels, strict=True) if keep for run in n.runs))
         good += html_extract.decode(nodes, trees.margin(np.array(html_nodes.features(nodes), float))) == want
     assert good >= 90
+
+
+def test_each_unseen_gram_backs_off_by_itself():
+    tables = [{"known": (-1.0, -2.0)}, {"a": (-1.0, -4.0), "b": (-2.0, -2.0)}, {"^a": (-3.0, -1.0)}, {}, {"^abq": (-5.0, -6.0)}]
+    model = language_id.Model(["x", "y"], tables, [(-9.0, -9.0)] * 5, np.zeros(2))
+
+    def brute(gram):
+        if gram in tables[len(gram)]:
+            return np.array(tables[len(gram)][gram])
+        parts = [p for p in (gram[:-1], gram[1:]) if p and p not in "^$"]
+        return np.mean([brute(p) for p in parts], axis=0) if parts else np.array([-9.0, -9.0])
+
+    for word in ("abq", "ab", "a", "zz", "abqab"):
+        framed = f"^{word}$"
+        size = min(4, len(framed))
+        want = np.mean([brute(framed[i : i + size]) for i in range(len(framed) - size + 1)], axis=0)
+        assert np.allclose(model.word(word), want - want.mean()), word
+    assert model.predict(["½ ² 3", "a²"])[0] == ("und", 0.0) and model.predict(["a²"])[0][0] in "xy"

@@ -3,8 +3,8 @@
 The model is fitted on a bounded sample of at most about ``SAMPLE_ROWS`` rows with a language and keeps the
 ``WORDS`` most frequent words and the ``GRAMS`` most frequent n-grams of each length, so it may be broadcast
 whatever the corpus size. A word of a text adds its log frequency in each language if the model knows it.
-Otherwise its character n-grams (with word borders) of length 4 are looked up, those not found are
-replaced by their n-grams of length 3, and so on down to single letters.
+Otherwise its character n-grams (with word borders) of length 4 are looked up; each one not found is replaced by the mean
+of its own n-grams of length 3, each of those not found by its n-grams of length 2, and so on down to single letters.
 
 Every distinct word of a text counts once for each time it occurs. The score is the share of the
 chosen language among the mean evidence per word, softened for very short texts.
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.samples import hashed_share, id_bucket
+from tickforge.llm.words import slices
 from tickforge.session import checkpoint_dir
 
 SAMPLE_ROWS = 8_000
@@ -44,36 +45,54 @@ def grams(word: str, n: int) -> list[str]:
     return [framed[i : i + n] for i in range(len(framed) - n + 1)]
 
 
+def words_of(text: str) -> list[str]:
+    """Lower-cased runs of letters; signs such as a raised two are no letters."""
+    found = WORD.findall(text.lower())
+    return [x for w in found if (x := w if w.isalpha() else "".join(filter(str.isalpha, w)))]
+
+
+def _mean(rows: list[list[float]]) -> list[float]:
+    return [sum(column) / len(rows) for column in zip(*rows, strict=True)]
+
+
 class Model:
     """Log frequencies by language for words and n-grams."""
 
     def __init__(self, languages: list[str], tables: list[dict[str, tuple]], floors: list[tuple], prior: np.ndarray):
         self.languages, self.tables, self.floors, self.prior = languages, tables, floors, prior
         self.index: dict[str, int] = {}
+        self.pieces: dict[str, list[float]] = {}
         self.rows = np.zeros((0, len(languages)))
 
-    def _backed_off(self, word: str, n: int) -> list[float]:
-        """Evidence of a piece of an unseen word from n-grams of length n, or shorter ones where none is known."""
-        table = self.tables[n]
-        known = [x for g in grams(word, n) if (x := table.get(g)) is not None]
-        if known:
-            return [sum(column) / len(known) for column in zip(*known, strict=True)]
-        return self._backed_off(word, n - 1) if n > 1 else list(self.floors[1])
+    def _piece(self, gram: str) -> list[float]:
+        """Evidence of one n-gram, from its own shorter n-grams if it is not known."""
+        found = self.pieces.get(gram)
+        if found is None:
+            found = self.tables[len(gram)].get(gram)
+            if found is None:
+                parts = [p for p in (gram[:-1], gram[1:]) if p not in ("", "^", "$")]
+                found = _mean([self._piece(p) for p in parts]) if parts else list(self.floors[1])
+            self.pieces[gram] = found
+        return found
+
+    def _backed_off(self, word: str) -> list[float]:
+        """Evidence of an unseen word: the mean of its longest n-grams, each backed off by itself."""
+        return _mean([self._piece(g) for g in grams(word, min(LONGEST, len(word) + 2))])
 
     def word(self, word: str) -> list[float]:
         """Evidence of one word, relative to the mean over languages."""
-        known = self.tables[0].get(word) or self._backed_off(word, LONGEST)
+        known = self.tables[0].get(word) or self._backed_off(word)
         mean = sum(known) / len(known)
         return [x - mean for x in known]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score of every text."""
-        words = [WORD.findall(t.lower()) if t else [] for t in texts]
+        words = [words_of(t) if t else [] for t in texts]
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
         new = list(set().union(*words).difference(self.index))
         if len(self.index) + len(new) > CACHE:
-            self.index, self.rows = {}, self.rows[:0]
+            self.index, self.rows, self.pieces = {}, self.rows[:0], {}
             new = list(set().union(*words))
         if new:
             self.rows = np.concatenate([self.rows, np.array([self.word(w) for w in new])])
@@ -99,12 +118,12 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col
     rows = rows.where(hashed_share(F.col("key"), rows.count(), SAMPLE_ROWS))
 
     def spell(batches):
-        for batch in batches:
+        for batch in slices(batches):
             counts: Counter = Counter()
             words: dict[str, Counter] = {}
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 counts[(lang, -1, "")] += 1
-                words.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+                words.setdefault(lang, Counter()).update(words_of(text))
             for lang, by_word in words.items():
                 for word, n in by_word.items():
                     counts[(lang, 0, word)] += n
@@ -154,8 +173,8 @@ def predictions(docs: DataFrame, model: Model, text_col: str = "text", keep: lis
         known = shared.value
         for batch in batches:
             got = []
-            for first in range(0, len(batch), 1000):
-                got += known.predict(batch.column("text").slice(first, 1000).to_pylist())
+            for part in slices([batch], most=1 << 20):
+                got += known.predict(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 names=["row", "lang_pred", "score"],
