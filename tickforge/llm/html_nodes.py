@@ -10,10 +10,13 @@ from collections import Counter
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var "
+    "audio canvas map object video math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder semantics "
+    "svg circle defs ellipse g line path polygon polyline rect text tspan use".split()
 )
-SKIPPED = frozenset("script style template noscript iframe object svg math canvas audio video select textarea button datalist title head map".split())
-RAW = frozenset("script style textarea title iframe noscript template svg math select object".split())
+# What is never shown as text: scripts, styles, templates, the head, form controls and the fallback of frames.
+SKIPPED = frozenset("script style template iframe select textarea button datalist title head".split())
+RAW = frozenset("script style textarea title iframe template select".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt".split()
 )
@@ -183,8 +186,7 @@ def read(page: str) -> list[Node]:
         node = Node(name, owner(), order, attributes)
         owner().children.append(node)
         nodes.append(node)
-        if not attributes.rstrip().endswith("/") or name not in ("path",):
-            stack.append((name, node))
+        stack.append((name, node))
     flush()
     return nodes
 
