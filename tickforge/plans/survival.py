@@ -60,6 +60,7 @@ class CoxModel:
     hazard: list[float]
     log_likelihood: float
     steps: int
+    converged: bool = True
 
 
 def _time_sums(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str):
@@ -113,9 +114,10 @@ def fit_cox(
     max_steps: int = 30,
     tolerance: float = 1e-9,
 ) -> CoxModel:
-    """Proportional hazards with a ridge penalty, by Newton steps on mean log likelihood.
+    """Proportional hazards by Newton steps: maximises log likelihood - alpha / 2 * (sum of squared coefficients).
 
-    Ties follow Breslow. A step is two passes over the cached rows. The first gives, per
+    Steps stop once the objective, divided by the number of rows, changes by at most ``tolerance``. ``converged``
+    tells if they did; a step that lowers the objective however short is never taken. Ties follow Breslow. A step is two passes over the cached rows. The first gives, per
     time, the weight and weighted feature sums of rows leaving at it; summed from the
     latest time backwards they are the risk sets. Because each row belongs to the risk
     set of all times up to its own, the second-moment part of the Hessian is one p x p
@@ -157,14 +159,14 @@ def fit_cox(
             here = from_here[np.searchsorted(at, death_at)]
             s0, s1 = here[:, 0], here[:, 1:]
             fit = event_sum @ beta - (d * np.log(s0)).sum()
-            return s0, s1, fit / n - 0.5 * alpha * beta @ beta
+            return s0, s1, (fit - 0.5 * alpha * beta @ beta) / n
 
         beta = np.zeros(p)
         s0, s1, value = risk_sets(beta)
-        steps = 0
+        steps, converged = 0, False
         for steps in range(1, max_steps + 1):
             mean = s1 / s0[:, None]
-            slope = (event_sum - (d[:, None] * mean).sum(axis=0)) / n - alpha * beta
+            slope = (event_sum - (d[:, None] * mean).sum(axis=0)) / n - alpha / n * beta
             hazard = np.cumsum(d / s0)
             second = np.zeros((p, p))
             rows = _summed(
@@ -176,7 +178,7 @@ def fit_cox(
             ).collect()
             for r in rows:
                 second[r["row"]] = r["sums"]
-            curve = (second - (mean * d[:, None]).T @ mean) / n + alpha * np.eye(p)
+            curve = (second - (mean * d[:, None]).T @ mean) / n + alpha / n * np.eye(p)
             move = np.where(varies, np.linalg.solve(curve, slope), 0.0)
             gain = 1.0
             for _ in range(20):  # halve until the objective does not fall
@@ -184,16 +186,18 @@ def fit_cox(
                 if np.isfinite(new) and new >= value - 1e-12:
                     break
                 gain /= 2
+            else:
+                break  # no shorter step helps: stay here, not converged
             beta = beta + gain * move
-            done = abs(new - value) <= tolerance
+            converged = bool(abs(new - value) <= tolerance)
             s0, s1, value = s0_new, s1_new, new
-            if done:
+            if converged:
                 break
         hazard = np.cumsum(d / s0)
     finally:
         design.unpersist()
     return CoxModel(
-        names, beta.tolist(), centre.tolist(), (death_at * grid).tolist(), hazard.tolist(), float(value * n), steps
+        names, beta.tolist(), centre.tolist(), (death_at * grid).tolist(), hazard.tolist(), float(value * n), steps, converged
     )
 
 
