@@ -9,7 +9,7 @@ from tickforge.functions.timeexpr import days_between
 from tickforge.operators.episodes import split_by_prefix
 from tickforge.operators.ordering import SMALL_ROWS, rank_all, rank_written
 from tickforge.operators.quality import require_columns
-from tickforge.operators.timeline import note_rows, surely_small
+from tickforge.operators.timeline import SPREAD, note_rows, surely_small
 from tickforge.schemas import HEALTHY, PLC_DECODING
 from tickforge.session import checkpoint_dir
 
@@ -36,7 +36,7 @@ def number_labels(df: DataFrame, label: str, small_rows: int | None = None) -> D
     """
     limit = small_rows if small_rows is not None else SMALL_ROWS
     labels = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    if surely_small(labels, limit, spread=1):
+    if surely_small(labels, SPREAD * limit):  # a row has one label
         return rank_written(labels, label, "id", True)
     checkpoint_dir(df.sparkSession)
     labels = labels.checkpoint()

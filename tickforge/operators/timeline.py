@@ -48,7 +48,7 @@ _ROWS: dict[tuple, int] = {}
 _COUNTED: dict[int, int] = {}
 # Rows that a scanned row may become before a window (one a sensor), and the bytes a row may take when rows are
 # counted: larger scans are not small, and their footers need not be read.
-_SPREAD = 8
+SPREAD = 8
 _BYTES_A_ROW = 64
 
 
@@ -60,11 +60,11 @@ def note_rows(df: DataFrame, rows: int) -> None:
             _COUNTED[leaves.apply(0).semanticHash()] = rows
 
 
-def _scan_rows(df: DataFrame, leaf, most: int, spread: int) -> int:
+def _scan_rows(df: DataFrame, leaf, most: int) -> int:
     """Rows that one scanned table may give: from its size where that is small enough, else from Parquet footers."""
     known = _COUNTED.get(leaf.semanticHash())
     if known is not None:
-        return spread * known
+        return SPREAD * known
     size = int(str(leaf.stats().sizeInBytes()))
     if 16 * size <= most or size > most * _BYTES_A_ROW or not leaf.getClass().getName().endswith(".LogicalRelation"):
         return 16 * size
@@ -74,14 +74,14 @@ def _scan_rows(df: DataFrame, leaf, most: int, spread: int) -> int:
     files = tuple(relation.location().inputFiles())
     if (files, size) not in _ROWS:
         _ROWS[files, size] = df.sparkSession.read.parquet(*files).count()
-    return spread * _ROWS[files, size]
+    return SPREAD * _ROWS[files, size]
 
 
-def surely_small(df: DataFrame, block_rows: int, spread: int = _SPREAD) -> bool:
+def surely_small(df: DataFrame, block_rows: int) -> bool:
     """True when the scanned tables leave no room for ``block_rows`` rows.
 
     Adds up the rows of each table the plan reads, once per table: joins here add columns, not rows, so output
-    estimates (products of sizes) would say nothing. ``spread`` is how many rows a scanned row may become. A wrong answer only costs a larger task, never a result: no
+    estimates (products of sizes) would say nothing. A scanned row may become ``SPREAD`` rows. A wrong answer only costs a larger task, never a result: no
     step chooses its method by it.
     """
     if not hasattr(df, "_jdf"):  # remote session: no plan at hand
@@ -91,7 +91,7 @@ def surely_small(df: DataFrame, block_rows: int, spread: int = _SPREAD) -> bool:
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         scans.setdefault(leaf.semanticHash(), leaf)
-    return sum(_scan_rows(df, leaf, block_rows, spread) for leaf in scans.values()) <= block_rows
+    return sum(_scan_rows(df, leaf, block_rows) for leaf in scans.values()) <= block_rows
 
 
 def plan_cells(df: DataFrame, keys: list[str], axis: str, block_rows: int) -> list[tuple]:
