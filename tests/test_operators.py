@@ -23,7 +23,17 @@ from tickforge.operators.reference import (
     machine_types,
     unique_label_table,
 )
-from tickforge.operators.reshape import long_to_wide, messages_to_long, one_hot, records, tick_lines, two_sided_rows, wide_to_long
+from tickforge.operators.reshape import (
+    long_to_wide,
+    messages_to_long,
+    one_hot,
+    records,
+    series_per_machine,
+    series_rows,
+    tick_lines,
+    two_sided_rows,
+    wide_to_long,
+)
 from tickforge.operators.timeline import Timeline
 
 
@@ -396,3 +406,26 @@ def test_labels_of_large_tables_are_broadcast(spark):
     small, large = number_labels(df, "l"), number_labels(df, "l", small_rows=0)
     assert rows(small) == rows(large) == [(str(i), i + 1) for i in range(5)]
     assert "BroadcastHashJoin" in df.join(large, "l")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_series_of_any_number_of_machines(spark):
+    """More machines than a pivot takes, in blocks of columns; the same cells as one wide table."""
+    daily = spark.range(12_000).selectExpr("id % 3 as time", "concat('m', id % 11000) as id_machine", "if(id % 7 = 0, null, id) as value")
+    blocks = series_per_machine(daily, "value", width=300)
+    assert blocks.count() == 3 * 37 and len(blocks.columns) == 303
+    got = rows(series_rows(blocks, "value"), "time", "id_machine", "value")
+    assert got == rows(daily.filter("value is not null"), "time", "id_machine", "value")
+    few = daily.filter("id_machine in ('m1', 'm2', 'm7', 'm10998')")
+    wide = {r["time"]: r for r in series_per_machine(few, "value").collect()}
+    for r in series_per_machine(few, "value", width=3).collect():
+        for name, v in zip(r["machines"], [r["s0"], r["s1"], r["s2"]]):
+            assert wide[r["time"]][name] == v
+    named = series_per_machine(daily, "value", ["m2", "m10998", "m1"], width=2)
+    assert {tuple(r["machines"]) for r in named.collect()} == {("m2", "m10998"), ("m1",)}
+
+
+def test_series_query_takes_many_machines(spark, folder):
+    from tickforge.catalog.shapes import machine_series
+
+    spark.range(10_500).selectExpr("timestamp'2024-01-01' as ts", "id as user_id", "double(id) as value").write.parquet(f"{folder}/events.parquet")
+    assert machine_series(spark, folder).count() == 10_500

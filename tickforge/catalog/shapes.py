@@ -14,11 +14,13 @@ from tickforge.functions.text import base_name, run_id, run_timestamp
 from tickforge.functions.timeexpr import compact_utc
 from tickforge.operators.ordering import exact_quantiles
 from tickforge.operators.reshape import (
+    SERIES_WIDTH,
     assemble_rows,
     long_to_wide,
     messages_to_long,
     one_hot,
     series_per_machine,
+    series_rows,
     tick_lines,
     wide_to_long,
 )
@@ -265,13 +267,12 @@ def value_counts(spark, folder):
     "SELECT epoch_us(date_trunc('day', ts)) AS day_us, 'm' || user_id AS id_machine, max(value) AS value FROM events GROUP BY ALL HAVING max(value) IS NOT NULL",
 )
 def machine_series(spark, folder):
-    """Largest value per day with a column for every machine found, read back as rows."""
+    """Largest value per day with a column for every machine found, in blocks of columns, read back as rows."""
     daily = events(spark, folder).groupBy(F.date_trunc("day", "ts").alias("time"), F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("id_machine")).agg(
         F.max("value").alias("value")
     )
-    wide = series_per_machine(daily, "value")
-    long = wide.unpivot("time", [c for c in wide.columns if c != "time"], "id_machine", "value").filter(F.col("value").isNotNull())
-    return long.select(us("time", "day_us"), "id_machine", "value")
+    wide = series_per_machine(daily, "value", width=SERIES_WIDTH)
+    return series_rows(wide, "value").select(us("time", "day_us"), "id_machine", "value")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tickforge.operators.quality import require_columns
+from tickforge.operators.reference import number_labels
 from tickforge.schemas import PLC_READINGS, PUBLISHED_SENSORS
 
 KNOWN_READINGS = PUBLISHED_SENSORS + PLC_READINGS
@@ -161,8 +162,47 @@ def one_hot(df: DataFrame, dictionary: dict[str, list], drop_first: bool = True)
     return df.withColumns(flags).drop(*dictionary) if flags else df.drop(*dictionary)
 
 
-def series_per_machine(df: DataFrame, value: str, machines: list[str] | None = None, machine: str = "id_machine", at: str = "time") -> DataFrame:
-    """One column per machine (named ones, by default all that occur) and one row per instant."""
-    grouped = df.groupBy(at)
-    columns = grouped.pivot(machine) if machines is None else grouped.pivot(machine, machines)
-    return columns.agg(F.first(value, ignorenulls=True))
+#: Columns of one series table.
+SERIES_WIDTH = 500
+
+
+def series_per_machine(
+    df: DataFrame,
+    value: str,
+    machines: list[str] | None = None,
+    machine: str = "id_machine",
+    at: str = "time",
+    width: int | None = None,
+) -> DataFrame:
+    """One column per machine (named ones, by default all that occur) and one row per instant.
+
+    A table can hold some thousand columns, the data any number of machines. With ``width`` the machines are
+    numbered in order of name and dealt to blocks of that many: one row per instant and block (instants at which
+    none of the block has a row are left out), with the column ``block``, the block's ``machines`` in order and
+    their values ``s0``, ``s1``, ... in the same order. All blocks come from one pass; a null name gets no column.
+    """
+    if width is None:
+        grouped = df.groupBy(at)
+        columns = grouped.pivot(machine) if machines is None else grouped.pivot(machine, machines)
+        return columns.agg(F.first(value, ignorenulls=True))
+    if machines is None:
+        numbers = number_labels(df, machine).select(machine, (F.col("id") - 1).alias("_n"))
+    else:
+        named = df.sparkSession.createDataFrame(list(enumerate(machines)), "_n long, _name string")
+        numbers = named.select(F.col("_name").alias(machine), "_n")
+    numbers = numbers.select(machine, F.floor(F.col("_n") / width).alias("block"), (F.col("_n") % width).cast("int").alias("_place"))
+    names = numbers.groupBy("block").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_place", machine))), lambda x: x[machine]).alias("machines")
+    )
+    placed = df.select(at, machine, F.col(value).alias("_value")).join(numbers, machine)
+    values = placed.groupBy("block", at).pivot("_place", list(range(width))).agg(F.first("_value", ignorenulls=True))
+    renamed = values.select(at, "block", *[F.col(str(i)).alias(f"s{i}") for i in range(width)])
+    return renamed.join(names, "block").select(at, "block", "machines", *[f"s{i}" for i in range(width)])
+
+
+def series_rows(blocks: DataFrame, value: str, machine: str = "id_machine", at: str = "time") -> DataFrame:
+    """Known values of the blocks of ``series_per_machine`` as rows."""
+    width = sum(c not in (at, "block", "machines") for c in blocks.columns)
+    pairs = F.arrays_zip(F.col("machines").alias("machine"), F.array(*[f"s{i}" for i in range(width)]).alias("value"))
+    cells = blocks.select(at, F.explode(F.filter(pairs, lambda x: x["value"].isNotNull())).alias("_cell"))
+    return cells.select(at, F.col("_cell.machine").alias(machine), F.col("_cell.value").alias(value))
