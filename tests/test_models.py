@@ -96,6 +96,32 @@ def test_dynamic_auc(spark, lives):
     assert mean == pytest.approx((want[5] * (1 - s5) + want[15] * (s5 - s15)) / (1 - s15))
 
 
+def test_cox_weights_may_be_far_apart(spark):
+    """A feature that nearly tells the time: risks lie hundreds apart, beyond what weights can hold."""
+    rng = np.random.default_rng(5)
+    value = rng.exponential(400, size=1500)
+    t, d, x = value.astype(int), rng.random(1500) < 0.5, 2 * value + rng.integers(0, 3, 1500)
+    df = spark.createDataFrame(pd.DataFrame({"t": t, "d": d, "a": x, "b": rng.normal(size=1500)})).repartition(3)
+    model = S.fit_cox(df, ["a", "b"], "t", "d", alpha=1e-4)
+    assert model.converged
+    both = df.toPandas()
+    x, t, d = both[["a", "b"]].to_numpy() - np.array(model.means), both.t.to_numpy(), both.d.to_numpy()
+
+    def objective(beta):
+        eta = x @ beta
+        value = eta[d].sum() - 0.5e-4 * beta @ beta
+        return value - sum(np.logaddexp.reduce(eta[t >= u]) for u in t[d])
+
+    beta = np.array(model.coefficients)
+    best = objective(beta)
+    assert model.log_likelihood == pytest.approx(best, abs=1e-6) and np.ptp(x @ beta) > 709
+    for step in ([1e-3, 0], [-1e-3, 0], [0, 1e-2], [0, -1e-2]):
+        assert objective(beta + np.array(step)) <= best + 1e-6
+    risk = df.select("t", S.risk_score(model).alias("r")).withColumn("life", S.median_life(model, F.col("r"))).toPandas()
+    place = np.array([np.flatnonzero(np.array(model.log_hazard) + r >= np.log(np.log(2.0))) for r in risk.r], dtype=object)
+    assert risk.life.tolist() == [model.times[p[0]] if len(p) else model.times[-1] for p in place]
+
+
 def test_cox_gradient_is_zero(spark, lives):
     names = ["a", "b", "c.d"]
     df = spark.createDataFrame(lives).withColumn("constant", F.lit(3.0))

@@ -7,7 +7,7 @@ time are bounded by the time span of the data, not by its row count.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -61,29 +61,43 @@ class CoxModel:
     log_likelihood: float
     steps: int
     converged: bool = True
+    #: ``hazard`` in logarithms; empty in models stored without them
+    log_hazard: list[float] = field(default_factory=list)
 
 
 def _time_sums(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str):
-    """Per partition and time: sum of weights and of weighted features."""
+    """Per partition and time: largest exponent, and sums of weights and of weighted features over its exponential.
+
+    Weights far apart, as of a feature that nearly tells the time, then neither overflow nor vanish.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
+        total: dict[int, tuple[float, np.ndarray]] = {}
         for pdf in batches:
             x = pdf[features].to_numpy(dtype=float) - centre
-            weight = np.exp(x @ beta)
-            packed = np.column_stack([weight, x * weight[:, None]])
+            exponent = x @ beta
             moments, where = np.unique(pdf[time].to_numpy(), return_inverse=True)
+            top = np.full(len(moments), -np.inf)
+            np.maximum.at(top, where, exponent)
+            weight = np.exp(exponent - top[where])
+            packed = np.column_stack([weight, x * weight[:, None]])
             sums = np.zeros((len(moments), packed.shape[1]))
             np.add.at(sums, where, packed)
-            for t, row in zip(moments.tolist(), sums):
-                total[t] = total[t] + row if t in total else row
+            for t, high, row in zip(moments.tolist(), top.tolist(), sums):
+                if t in total:
+                    known, kept = total[t]
+                    new = max(high, known)
+                    high, row = new, kept * np.exp(known - new) + row * np.exp(high - new)
+                total[t] = high, row
         if total:
-            yield pd.DataFrame({"time": list(total), "sums": [v.tolist() for v in total.values()]})
+            yield pd.DataFrame(
+                {"time": list(total), "top": [h for h, _ in total.values()], "sums": [v.tolist() for _, v in total.values()]}
+            )
 
     return run
 
 
-def _gram(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str, times: np.ndarray, hazard: np.ndarray):
+def _gram(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str, times: np.ndarray, log_hazard: np.ndarray):
     """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,8 +106,9 @@ def _gram(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str,
         for pdf in batches:
             x = pdf[features].to_numpy(dtype=float) - centre
             place = np.searchsorted(times, pdf[time].to_numpy(), side="right") - 1
-            so_far = np.where(place >= 0, hazard[np.maximum(place, 0)], 0.0)
-            total += x.T @ (x * (np.exp(x @ beta) * so_far)[:, None])
+            # Deaths expected of a row: at most as many as there are, however large either factor.
+            expected = np.where(place >= 0, np.exp(np.where(place >= 0, x @ beta + log_hazard[np.maximum(place, 0)], 0.0)), 0.0)
+            total += x.T @ (x * expected[:, None])
         yield pd.DataFrame({"row": range(p), "sums": [r.tolist() for r in total]})
 
     return run
@@ -104,6 +119,13 @@ def _summed(parts: DataFrame, key: str, width: int) -> DataFrame:
     return parts.groupBy(key).agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums"))
 
 
+def _summed_by_time(parts: DataFrame, width: int) -> DataFrame:
+    """Sums of what ``_time_sums`` found, over the exponential of the largest exponent of each time."""
+    peaked = parts.withColumn("peak", F.max("top").over(Window.partitionBy("time")))
+    share = F.exp(F.col("top") - F.col("peak"))
+    return peaked.groupBy("time", "peak").agg(F.array(*[F.sum(F.col("sums")[i] * share) for i in range(width)]).alias("sums"))
+
+
 def fit_cox(
     df: DataFrame,
     features: list[str],
@@ -150,28 +172,31 @@ def fit_cox(
 
         def risk_sets(beta: np.ndarray):
             parts = design.select("_t", *features).mapInPandas(
-                _time_sums(features, centre, beta, "_t"), "time long, sums array<double>"
+                _time_sums(features, centre, beta, "_t"), "time long, top double, sums array<double>"
             )
-            table = _summed(parts, "time", p + 1).toPandas().sort_values("time")
-            at = table["time"].to_numpy()
-            sums = np.stack(table["sums"].to_numpy())
-            from_here = np.cumsum(sums[::-1], axis=0)[::-1]
-            here = from_here[np.searchsorted(at, death_at)]
-            s0, s1 = here[:, 0], here[:, 1:]
-            fit = event_sum @ beta - (d * np.log(s0)).sum()
-            return s0, s1, (fit - 0.5 * alpha * beta @ beta) / n
+            table = _summed_by_time(parts, p + 1).toPandas().sort_values("time")
+            at, peak = table["time"].to_numpy(), table["peak"].to_numpy()
+            from_here = np.stack(table["sums"].to_numpy())
+            top = np.maximum.accumulate(peak[::-1])[::-1]
+            from_here *= np.exp(peak - top)[:, None]
+            for i in range(len(at) - 2, -1, -1):
+                from_here[i] += from_here[i + 1] * np.exp(top[i + 1] - top[i])
+            place = np.searchsorted(at, death_at)
+            here = from_here[place]
+            log_s0, mean = np.log(here[:, 0]) + top[place], here[:, 1:] / here[:, :1]
+            fit = event_sum @ beta - (d * log_s0).sum()
+            return log_s0, mean, (fit - 0.5 * alpha * beta @ beta) / n
 
         beta = np.zeros(p)
-        s0, s1, value = risk_sets(beta)
+        log_s0, mean, value = risk_sets(beta)
         steps, converged = 0, False
         for steps in range(1, max_steps + 1):
-            mean = s1 / s0[:, None]
             slope = (event_sum - (d[:, None] * mean).sum(axis=0)) / n - alpha / n * beta
-            hazard = np.cumsum(d / s0)
+            log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
             second = np.zeros((p, p))
             rows = _summed(
                 design.select("_t", *features).mapInPandas(
-                    _gram(features, centre, beta, "_t", death_at, hazard), "row int, sums array<double>"
+                    _gram(features, centre, beta, "_t", death_at, log_hazard), "row int, sums array<double>"
                 ),
                 "row",
                 p,
@@ -182,7 +207,7 @@ def fit_cox(
             move = np.where(varies, np.linalg.solve(curve, slope), 0.0)
             gain = 1.0
             for _ in range(20):  # halve until the objective does not fall
-                s0_new, s1_new, new = risk_sets(beta + gain * move)
+                log_s0_new, mean_new, new = risk_sets(beta + gain * move)
                 if np.isfinite(new) and new >= value - 1e-12:
                     break
                 gain /= 2
@@ -190,14 +215,24 @@ def fit_cox(
                 break  # no shorter step helps: stay here, not converged
             beta = beta + gain * move
             converged = bool(abs(new - value) <= tolerance)
-            s0, s1, value = s0_new, s1_new, new
+            log_s0, mean, value = log_s0_new, mean_new, new
             if converged:
                 break
-        hazard = np.cumsum(d / s0)
+        log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
     finally:
         design.unpersist()
+    with np.errstate(over="ignore"):
+        hazard = np.exp(log_hazard)
     return CoxModel(
-        names, beta.tolist(), centre.tolist(), (death_at * grid).tolist(), hazard.tolist(), float(value * n), steps, converged
+        names,
+        beta.tolist(),
+        centre.tolist(),
+        (death_at * grid).tolist(),
+        hazard.tolist(),
+        float(value * n),
+        steps,
+        converged,
+        log_hazard.tolist(),
     )
 
 
@@ -212,13 +247,18 @@ def risk_score(model: CoxModel) -> Column:
 
 def median_life(model: CoxModel, risk: Column) -> Column:
     """First grid time where survival is at most one half, else the last time known."""
-    times, hazard = np.array(model.times), np.array(model.hazard)
-    half = np.log(2.0)
+    times = np.array(model.times)
+    if model.log_hazard:
+        log_hazard = np.array(model.log_hazard)
+    else:
+        with np.errstate(divide="ignore"):
+            log_hazard = np.log(np.array(model.hazard))
+    half = np.log(np.log(2.0))
 
     @F.pandas_udf("double")
     def first_time(score: pd.Series) -> pd.Series:
         # S = exp(-hazard * e^score) <= 1/2 from the first hazard >= ln 2 / e^score on
-        place = np.searchsorted(hazard, half * np.exp(-score.to_numpy(dtype=float)), side="left")
+        place = np.searchsorted(log_hazard, half - score.to_numpy(dtype=float), side="left")
         return pd.Series(times[np.minimum(place, len(times) - 1)])
 
     return F.when(risk.isNotNull(), first_time(risk))
