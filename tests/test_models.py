@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tickforge.plans import survival as S
+from tickforge.plans import survival as S, training as T
 from tickforge.plans.scoring import NO_MODEL, derived_features, predict
 from tickforge.plans.survival import CoxModel
 from tickforge.plans.training import (
@@ -224,3 +224,19 @@ def test_train_end_to_end(spark):
     assert made.metrics["n_lignes_score"] == 119 and made.metrics["c_index"] > 0.85
     with pytest.raises(ValueError, match="empty"):
         train(df.withColumn("RUL_jours", F.lit(None).cast("double")).limit(0))
+
+
+def test_flag_medians_and_risk_of_many_columns(spark):
+    """Medians of one-hot flags from counts, and a linear predictor of more columns than a nested sum takes."""
+    labels = {"a": ["x", "y", "z"], "b": ["1", "2"]}
+    for values in ([("y", "2"), ("y", "1"), ("x", None)], [("y", "2"), ("z", "2")], [(None, "1"), ("y", "2"), ("x", "2"), ("q", "2")]):
+        df = spark.createDataFrame(values, "a string, b string")
+        hot = T.one_hot(df, labels)
+        assert T.flag_medians(df, labels) == T.medians(hot, hot.columns)
+    names = [f"n{i}" for i in range(2500)]
+    wide = spark.range(3).select(*[(F.col("id") * i).cast("double").alias(c) for i, c in enumerate(names)])
+    model = CoxModel(names, [1e-3] * 2500, [1.0] * 2500, [1.0], [1.0], 0.0, 1)
+    got = wide.select(S.risk_score(model).alias("r")).collect()
+    assert sorted(r.r for r in got) == pytest.approx([sum(1e-3 * (k * i - 1) for i in range(2500)) for k in range(3)])
+    unknown = wide.withColumn("n7", F.lit(None).cast("double"))
+    assert unknown.select(S.risk_score(model).alias("r")).first().r is None

@@ -6,11 +6,13 @@ time are bounded by the time span of the data, not by its row count.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickforge.operators.ordering import exact_cut_points
@@ -65,67 +67,106 @@ class CoxModel:
     log_hazard: list[float] = field(default_factory=list)
 
 
-def _time_sums(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str):
+#: Rows of the design, and of the second-moment matrix, handled at once.
+_ROWS = 2048
+_PANEL = 64
+_SUMS = "key long, top double, sums binary"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], centre: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(time, event, centred features) of the design's rows, some at a time; unknown features are NaN."""
+    for batch in batches:
+        for first in range(0, len(batch), _ROWS):
+            part = batch.slice(first, _ROWS)
+            x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
+            yield part.column("_t").to_numpy(), part.column("_d").fill_null(False).to_numpy(zero_copy_only=False), x - centre
+
+
+def _add(total: dict[int, tuple[float, np.ndarray]], key: int, top: float, sums: np.ndarray) -> None:
+    """Adds sums kept over exp(top) to those known of the key."""
+    if key in total:
+        known, kept = total[key]
+        new = max(top, known)
+        top, sums = new, kept * np.exp(known - new) + sums * np.exp(top - new)
+    total[key] = top, sums
+
+
+def _packed(total: dict[int, tuple[float, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for key, (top, sums) in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([float(top)]), pa.array([sums.tobytes()])], names=["key", "top", "sums"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, tuple[float, np.ndarray]] = {}
+    for batch in batches:
+        for key, top, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            _add(total, key, top, np.frombuffer(sums))
+    yield from _packed(total)
+
+
+def _sums_by_key(design: DataFrame, part: Callable) -> dict[int, tuple[float, np.ndarray]]:
+    """(exponent, sums over its exponential) by key: summed by task, then by key."""
+    rows = design.mapInArrow(part, _SUMS).repartition("key").mapInArrow(_merge, _SUMS).collect()
+    return {r["key"]: (r["top"], np.frombuffer(r["sums"])) for r in rows}
+
+
+def _moments(p: int):
+    """Per partition: number and sum of the known values, smallest, largest, and sum of the rows with the event."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, tuple[float, np.ndarray]] = {}
+        low, high = np.full(p, np.inf), np.full(p, -np.inf)
+        for _, d, x in _chunks(batches, np.zeros(p)):
+            _add(total, 0, 0.0, np.concatenate([np.isfinite(x).sum(axis=0), np.nansum(x, axis=0), x[d].sum(axis=0)]))
+            low, high = np.fmin(low, np.fmin.reduce(x, axis=0)), np.fmax(high, np.fmax.reduce(x, axis=0))
+        yield from _packed(total)
+        # Kept apart by partition: extremes are no sums.
+        if total:
+            yield from _packed({1 + TaskContext.get().partitionId(): (0.0, np.concatenate([low, high]))})
+
+    return run
+
+
+def _time_sums(centre: np.ndarray, beta: np.ndarray):
     """Per partition and time: largest exponent, and sums of weights and of weighted features over its exponential.
 
     Weights far apart, as of a feature that nearly tells the time, then neither overflow nor vanish.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, tuple[float, np.ndarray]] = {}
-        for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float) - centre
+        for t, _, x in _chunks(batches, centre):
+            order = np.argsort(t, kind="stable")
+            t, x = t[order], x[order]
             exponent = x @ beta
-            moments, where = np.unique(pdf[time].to_numpy(), return_inverse=True)
-            top = np.full(len(moments), -np.inf)
-            np.maximum.at(top, where, exponent)
-            weight = np.exp(exponent - top[where])
-            packed = np.column_stack([weight, x * weight[:, None]])
-            sums = np.zeros((len(moments), packed.shape[1]))
-            np.add.at(sums, where, packed)
-            for t, high, row in zip(moments.tolist(), top.tolist(), sums):
-                if t in total:
-                    known, kept = total[t]
-                    new = max(high, known)
-                    high, row = new, kept * np.exp(known - new) + row * np.exp(high - new)
-                total[t] = high, row
-        if total:
-            yield pd.DataFrame(
-                {"time": list(total), "top": [h for h, _ in total.values()], "sums": [v.tolist() for _, v in total.values()]}
-            )
+            moments, first, size = np.unique(t, return_index=True, return_counts=True)
+            top = np.maximum.reduceat(exponent, first)
+            weight = np.exp(exponent - np.repeat(top, size))
+            sums = np.add.reduceat(np.column_stack([weight, x * weight[:, None]]), first, axis=0)
+            for key, high, row in zip(moments.tolist(), top.tolist(), sums, strict=True):
+                _add(total, key, high, row)
+        yield from _packed(total)
 
     return run
 
 
-def _gram(features: list[str], centre: np.ndarray, beta: np.ndarray, time: str, times: np.ndarray, log_hazard: np.ndarray):
-    """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far."""
+def _gram(centre: np.ndarray, beta: np.ndarray, times: np.ndarray, log_hazard: np.ndarray):
+    """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far, by panels of rows."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = len(features)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = len(centre)
         total = np.zeros((p, p))
-        for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float) - centre
-            place = np.searchsorted(times, pdf[time].to_numpy(), side="right") - 1
+        for t, _, x in _chunks(batches, centre):
+            place = np.searchsorted(times, t, side="right") - 1
+            x, place = x[place >= 0], place[place >= 0]
             # Deaths expected of a row: at most as many as there are, however large either factor.
-            expected = np.where(place >= 0, np.exp(np.where(place >= 0, x @ beta + log_hazard[np.maximum(place, 0)], 0.0)), 0.0)
-            total += x.T @ (x * expected[:, None])
-        yield pd.DataFrame({"row": range(p), "sums": [r.tolist() for r in total]})
+            x = x * np.exp((x @ beta + log_hazard[place]) / 2)[:, None]
+            total += x.T @ x
+        yield from _packed({first: (0.0, total[first : first + _PANEL]) for first in range(0, p, _PANEL)})
 
     return run
 
 
-def _summed(parts: DataFrame, key: str, width: int) -> DataFrame:
-    """Element-wise sums of equal-length arrays per key."""
-    return parts.groupBy(key).agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums"))
-
-
-def _summed_by_time(parts: DataFrame, width: int) -> DataFrame:
-    """Sums of what ``_time_sums`` found, over the exponential of the largest exponent of each time."""
-    peaked = parts.withColumn("peak", F.max("top").over(Window.partitionBy("time")))
-    share = F.exp(F.col("top") - F.col("peak"))
-    return peaked.groupBy("time", "peak").agg(F.array(*[F.sum(F.col("sums")[i] * share) for i in range(width)]).alias("sums"))
-
-
 def fit_cox(
     df: DataFrame,
     features: list[str],
@@ -143,40 +184,38 @@ def fit_cox(
     time, the weight and weighted feature sums of rows leaving at it; summed from the
     latest time backwards they are the risk sets. Because each row belongs to the risk
     set of all times up to its own, the second-moment part of the Hessian is one p x p
-    sum with each row weighted by the cumulative hazard at its time. What reaches the
-    driver is one array of p + 1 numbers per grid time and one p x p matrix.
+    sum with each row weighted by the cumulative hazard at its time. Rows without a
+    known time are in no risk set. What reaches the driver is one array of p + 1 numbers per grid time and one p x p matrix.
     """
     p = len(features)
-    names, features = list(features), [f"f{i}" for i in range(len(features))]
+    names = list(features)
     design = df.select(
         F.col(time).cast("long").alias("_t"),
         F.col(event).cast("boolean").alias("_d"),
-        *[F.col(f"`{c}`").cast("double").alias(f) for c, f in zip(names, features)],
-    ).persist()
+        F.array(*[F.col(f"`{c}`").cast("double") for c in names]).alias("x"),
+    ).filter("_t is not null").persist()
     try:
-        n = design.count()
+        deaths = design.groupBy("_t").agg(F.count(F.lit(1)).alias("n"), F.count_if("_d").alias("d")).toPandas().sort_values("_t")
+        n = int(deaths["n"].sum())
         if n == 0:
             raise ValueError("the training set is empty: no row has a known target")
-        moments = design.agg(*[F.avg(c).alias(c) for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
-        centre = np.array([moments[c] for c in features], dtype=float)
-        varies = np.array([(moments[f"s_{c}"] or 0.0) > 1e-12 for c in features])
-        deaths = (
-            design.filter("_d").groupBy("_t").agg(F.count(F.lit(1)).alias("d"), *[F.sum(c).alias(c) for c in features]).toPandas()
-        )
-        deaths = deaths.sort_values("_t")
+        deaths = deaths[deaths["d"] > 0]
         death_at = deaths["_t"].to_numpy(dtype=np.int64)
         d = deaths["d"].to_numpy(dtype=float)
         if not len(d):
             raise ValueError("the training set has no observed event")
-        event_sum = deaths[features].to_numpy(dtype=float).sum(axis=0) - d.sum() * centre
+        moments = {k: v for k, (_, v) in _sums_by_key(design, _moments(p)).items()}
+        known, total, at_events = np.split(moments.pop(0), 3)
+        low, high = np.split(np.stack(list(moments.values())), 2, axis=1)
+        centre = total / known
+        varies = high.max(axis=0) - low.min(axis=0) > 1e-12
+        event_sum = at_events - d.sum() * centre
 
         def risk_sets(beta: np.ndarray):
-            parts = design.select("_t", *features).mapInPandas(
-                _time_sums(features, centre, beta, "_t"), "time long, top double, sums array<double>"
-            )
-            table = _summed_by_time(parts, p + 1).toPandas().sort_values("time")
-            at, peak = table["time"].to_numpy(), table["peak"].to_numpy()
-            from_here = np.stack(table["sums"].to_numpy())
+            table = _sums_by_key(design, _time_sums(centre, beta))
+            at = np.array(sorted(table))
+            peak = np.array([table[t][0] for t in at.tolist()])
+            from_here = np.stack([table[t][1] for t in at.tolist()])
             top = np.maximum.accumulate(peak[::-1])[::-1]
             from_here *= np.exp(peak - top)[:, None]
             for i in range(len(at) - 2, -1, -1):
@@ -193,16 +232,8 @@ def fit_cox(
         for steps in range(1, max_steps + 1):
             slope = (event_sum - (d[:, None] * mean).sum(axis=0)) / n - alpha / n * beta
             log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
-            second = np.zeros((p, p))
-            rows = _summed(
-                design.select("_t", *features).mapInPandas(
-                    _gram(features, centre, beta, "_t", death_at, log_hazard), "row int, sums array<double>"
-                ),
-                "row",
-                p,
-            ).collect()
-            for r in rows:
-                second[r["row"]] = r["sums"]
+            panels = _sums_by_key(design, _gram(centre, beta, death_at, log_hazard))
+            second = np.concatenate([panels[k][1].reshape(-1, p) for k in sorted(panels)])
             curve = (second - (mean * d[:, None]).T @ mean) / n + alpha / n * np.eye(p)
             move = np.where(varies, np.linalg.solve(curve, slope), 0.0)
             gain = 1.0
@@ -237,12 +268,13 @@ def fit_cox(
 
 
 def risk_score(model: CoxModel) -> Column:
-    """Linear predictor of the centred features."""
-    terms = [(F.col(f"`{c}`") - m) * b for c, m, b in zip(model.features, model.means, model.coefficients)]
-    total = F.lit(0.0)
-    for t in terms:
-        total = total + t
-    return total
+    """Linear predictor of the centred features. One flat array, so that any number of columns makes no deep expression."""
+    if not model.features:
+        return F.lit(0.0)
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in model.features])
+    centred = F.zip_with(values, F.lit(np.array(model.means, dtype=float)), lambda x, m: x - m)
+    terms = F.zip_with(centred, F.lit(np.array(model.coefficients, dtype=float)), lambda x, b: x * b)
+    return F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
 
 
 def median_life(model: CoxModel, risk: Column) -> Column:

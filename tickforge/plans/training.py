@@ -103,6 +103,17 @@ def medians(df: DataFrame, columns: list[str], small_rows: int | None = None) ->
     return {c: row[c] for c in columns}
 
 
+def flag_medians(df: DataFrame, labels: dict[str, list[str]]) -> dict[str, float]:
+    """Medians of the one-hot flags of labelled columns, from one count per label."""
+    if not any(labels.values()):
+        return {}
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label")) for c in labels]))
+    counted = {(r["column"], r["label"]): r["count"] for r in df.select(pairs).groupBy("column", "label").count().collect()}
+    n = sum(v for (c, _), v in counted.items() if c == next(iter(labels)))
+    twice = {f"{c}_{v}": 2 * counted.get((c, v), 0) for c, values in labels.items() for v in values[1:]}
+    return {name: 1.0 if k > n else 0.5 if k == n and n else 0.0 for name, k in twice.items()}
+
+
 def impute(df: DataFrame, fill: dict[str, float]) -> DataFrame:
     """Nulls and NaN replaced by the training median."""
     return df.withColumns({c: F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), F.lit(v)) for c, v in fill.items()})
@@ -155,16 +166,15 @@ def evaluate(
     if rows is not None:
         draw = F.xxhash64(F.lit(42), F.col(key).cast("string"), F.col("machine_row").cast("string"))
         scored = scored.orderBy(draw).limit(rows)
-    slim = scored.select("time_index", "event_observe", "risque").persist()
-    try:
-        c = concordance(slim, "time_index", "event_observe", "risque").first()
-        horizons = [round(h / GRID_DAYS) for h in HORIZON_DAYS]
-        auc = dynamic_auc(train, slim, "time_index", "event_observe", "risque", horizons)
-        per = {r["horizon"] * GRID_DAYS: r["auc"] for r in auc.collect()}
-        mean = mean_auc(auc, slim, "time_index", "event_observe").first()["auc_moyen"]
-        return {"c_index": c["c_index"], "auc_par_horizon": {str(round(k, 1)): v for k, v in sorted(per.items())}, "auc_moyen": mean, "n_lignes_score": slim.count()}
-    finally:
-        slim.unpersist()
+    # Written once: the rank counts below start from three columns, not from the plan of all design columns.
+    checkpoint_dir(test.sparkSession)
+    slim = scored.select("time_index", "event_observe", "risque").checkpoint()
+    c = concordance(slim, "time_index", "event_observe", "risque").first()
+    horizons = [round(h / GRID_DAYS) for h in HORIZON_DAYS]
+    auc = dynamic_auc(train.select("time_index", "event_observe"), slim, "time_index", "event_observe", "risque", horizons)
+    per = {r["horizon"] * GRID_DAYS: r["auc"] for r in auc.collect()}
+    mean = mean_auc(auc, slim, "time_index", "event_observe").first()["auc_moyen"]
+    return {"c_index": c["c_index"], "auc_par_horizon": {str(round(k, 1)): v for k, v in sorted(per.items())}, "auc_moyen": mean, "n_lignes_score": slim.count()}
 
 
 def train(
@@ -206,9 +216,11 @@ def train(
     columns = hot_names(used, kept)
     train_x = design_columns(plain_train, used, kept)
     test_x = design_columns(plain_test, used, kept)
-    fill = medians(train_x, columns)
-    train_x = impute(train_x, fill).checkpoint()
-    test_x = impute(test_x, fill)
+    plain = medians(train_x, [c for c in columns if c in kept])
+    # A flag is never unknown; its median follows from the label's count.
+    fill = {**plain, **flag_medians(plain_train, used)}
+    train_x = impute(train_x, plain).checkpoint()
+    test_x = impute(test_x, plain)
     model = fit_cox(train_x, columns, "time_index", "event_observe", alpha)
     bundle = Bundle(model, used, kept, columns, fill)
     bundle.metrics = evaluate(train_x, test_x, model, scored_rows)
