@@ -1,5 +1,8 @@
 import random
 
+import numpy
+import pytest
+
 from tickforge.llm import decontamination
 
 SHORT = [(0, "velvet"), (1, "amber quarry"), (2, "nine copper lanterns"), (3, "which river crosses lower vestra today"), (4, "name the metal that melts at the lowest heat of all")]
@@ -39,3 +42,19 @@ def test_every_place_above_the_cosine_is_checked(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(x["doc_id"], x["item_id"]) for x in decontamination.query(docs, spark.createDataFrame(benchmark, "item_id long, text string")).collect()}
     assert got == {(i, i) for i in range(20)}
+
+
+def test_latent_space_is_of_all_passages(spark):
+    """Documents in any order and number fit the same space, from which no passage is left out."""
+    r = random.Random(13)
+    words = [f"w{i}" for i in range(500)]
+    benchmark = spark.createDataFrame([(i, prose(r, words, 30)) for i in range(60)], "id long, text string")
+    rows = [(i, prose(r, words, 80)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    again = spark.createDataFrame([(i, " ".join(reversed(t.split()))) for i, t in rows], "doc_id long, text string")
+    a, b = decontamination.fit(docs, benchmark), decontamination.fit(again, benchmark)
+    assert a.idf.tolist() == b.idf.tolist()
+    assert abs(a.space @ a.space.T - b.space @ b.space.T).max() < 1e-3
+    tfidf = numpy.array([a.row(w) for _, _, w in a.passages])
+    latent = tfidf @ (a.space / a.idf[:, None])
+    assert numpy.linalg.norm(latent, axis=1) == pytest.approx(numpy.ones(60), abs=1e-3)

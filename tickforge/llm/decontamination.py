@@ -2,8 +2,8 @@
 
 1. Terms are the words of the benchmark, without case and signs. Their document frequencies are counted over
    all documents.
-2. A randomised SVD (random range finder, two power steps) of the TF-IDF rows of benchmark passages and of a
-   bounded sample of at most ``SAMPLE_PASSAGES`` document passages gives a latent space of ``RANK`` dimensions.
+2. A randomised SVD (random range finder, two power steps) of the TF-IDF rows of all benchmark passages, the indexed
+   texts, gives a latent space of ``RANK`` dimensions; windows of documents are folded into it. Nothing is sampled.
    Rows stay distributed; the driver sees term-by-rank matrices only.
 3. Every document is cut into overlapping windows about as long as the items. A window whose words of the
    benchmark hold less than ``GATE`` of its weight and less than ``SHARE`` of its number of words is passed over
@@ -29,19 +29,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.samples import hashed_share
 from tickforge.llm.words import STEP, carried, carried_slices, mix, slices, word_hashes
-from tickforge.session import checkpoint_dir
 
 SIZES = (4, 8, 16, 32, 64, 128)
-PASSAGE = 64
 RANK = 192
 EXTRA = 16
 POWER_STEPS = 2
-SAMPLE_PASSAGES = 2_000
 GATE = 0.3
 ANCHOR = 4
 ANCHOR_ITEMS = 16
@@ -52,6 +48,7 @@ LIKELY = 0.6
 SHARE = LIKELY * 2 / 3
 BLOCK_CHARS = 4_000_000
 CHUNK_WORDS = 24_000
+TEXT_BYTES = 1 << 20  # of documents handled at once
 
 
 def clean(words: pa.Array) -> pa.Array:
@@ -186,7 +183,7 @@ def _frequencies(texts: DataFrame, block: Block) -> tuple[np.ndarray, int]:
 
     def count(batches):
         total = np.zeros(n_terms + 1, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXT_BYTES):
             at, offsets = block.read(batch.column(0))
             rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
             both = np.asarray(pc.unique(pa.array((rows * n_terms + at)[at >= 0])))
@@ -202,30 +199,10 @@ def _frequencies(texts: DataFrame, block: Block) -> tuple[np.ndarray, int]:
     return df[:n_terms], int(df[n_terms])
 
 
-def _latent_space(texts: DataFrame, rows: int, block: Block) -> np.ndarray:
-    """Orthonormal term vectors of the leading singular directions."""
-    spark = texts.sparkSession
+def _latent_space(spark: SparkSession, block: Block) -> np.ndarray:
+    """Orthonormal term vectors of the leading singular directions of all passages that are looked for."""
     n_terms = len(block.terms)
-    sample = texts.where(hashed_share(F.col("text"), rows, SAMPLE_PASSAGES // 2))
-
-    def passages(batches):
-        for batch in slices(batches):
-            words, offsets = word_hashes(batch.column(0), clean)
-            out = []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                if b > a:  # two passages a document, at places that follow from its words
-                    for seed in (0, 1):
-                        at = int(a) + int(words[a] >> np.uint64(8 * seed)) % int(b - a)
-                        at = block.places(words[at : min(b, at + PASSAGE)])
-                        out.append(at[at >= 0].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64())), pa.array([0.3] * len(out))], names=["terms", "weight"])
-
-    own = spark.createDataFrame(
-        [(block.places(w).tolist(), 1.0) for _, _, w in block.passages], "terms array<long>, weight double"
-    )
-    matrix = own.unionByName(sample.select("text").mapInArrow(passages, "terms array<long>, weight double"))
-    checkpoint_dir(spark)
-    matrix = matrix.checkpoint()
+    matrix = spark.createDataFrame([(block.places(w).tolist(),) for _, _, w in block.passages], "terms array<long>")
     width = min(RANK + EXTRA, n_terms)
     panel = 512
 
@@ -236,12 +213,12 @@ def _latent_space(texts: DataFrame, rows: int, block: Block) -> np.ndarray:
         def part(batches):
             out = np.zeros((n_terms, width))
             for batch in batches:
-                for terms, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for terms in batch.column(0).to_pylist():
                     at, n = np.unique(np.array(terms, np.int64), return_counts=True)
                     value = n * block.idf[at]
                     norm = np.linalg.norm(value)
                     if norm:
-                        value = value * weight / norm
+                        value = value / norm
                         out[at] += np.outer(value, value @ shared.value[at])
             for first in range(0, n_terms, panel):
                 yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([out[first : first + panel].tobytes()])], names=["first", "part"])
@@ -283,7 +260,7 @@ def fit(docs: DataFrame, part: DataFrame, text_col: str = "text") -> Block:
     block.idf = np.log((rows + 1.0) / (df + 0.5)).clip(0.05)
     block.other = float(np.median(block.idf)) if len(block.idf) else 1.0
     if len(block.terms):
-        block.space = _latent_space(texts, rows, block)
+        block.space = _latent_space(docs.sparkSession, block)
         block.latent = np.array([block.row(w) for _, _, w in block.passages]) @ block.space
         norm = np.linalg.norm(block.latent, axis=1, keepdims=True)
         block.latent = (block.latent / np.where(norm > 0, norm, 1)).astype(np.float32)
@@ -445,7 +422,7 @@ def hits_by_row(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", k
             block = shared.value
             for batch in batches:
                 found = []
-                for part in carried_slices([batch]):
+                for part in carried_slices([batch], most=TEXT_BYTES):
                     for old, new in zip(part.column("hits").to_pylist(), find(block, part.column("text")), strict=True):
                         found.append(
                             old
