@@ -240,3 +240,40 @@ def test_flag_medians_and_risk_of_many_columns(spark):
     assert sorted(r.r for r in got) == pytest.approx([sum(1e-3 * (k * i - 1) for i in range(2500)) for k in range(3)])
     unknown = wide.withColumn("n7", F.lit(None).cast("double"))
     assert unknown.select(S.risk_score(model).alias("r")).first().r is None
+
+
+def test_wide_category_gives_the_one_hot_fit(spark, monkeypatch):
+    """A category of many labels is fitted and scored without a column a label, with the same model and risks."""
+    rng = np.random.default_rng(11)
+    n = 3000
+    data = pd.DataFrame(
+        {
+            "timestamp": [pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=5 * i) for i in range(n)],
+            "machine_id": [None if i % 50 == 0 else f"M{k}" for i, k in enumerate(rng.integers(0, 90, n))],
+            "iot_statut_machine": rng.choice(["Production", "Pause"], n),
+            "iot_temperature": 40 + rng.normal(size=n),
+            "age_jours": rng.random(n) * 100,
+            "RUL_jours": 3 * rng.random(n),
+            "type_censure_futur_audit": np.where(rng.random(n) < 0.6, "Correctif", "Sain"),
+        }
+    )
+    df = spark.createDataFrame(data, "timestamp timestamp_ntz, machine_id string, iot_statut_machine string, iot_temperature double, age_jours double, RUL_jours double, type_censure_futur_audit string")
+    monkeypatch.setattr(T, "WIDE_LABELS", 1000)
+    plain = T.train(df, top_k=4)
+    monkeypatch.setattr(T, "WIDE_LABELS", 64)
+    hot = T.one_hot
+    monkeypatch.setattr(T, "one_hot", lambda rows, labels: hot(rows, {c: v for c, v in labels.items() if len(v) <= 64 or 1 / 0}))
+    wide = T.train(df, top_k=4)
+    assert wide.columns == plain.columns == wide.model.features and len(wide.columns) > 89 and wide.model.converged
+    assert wide.fill == plain.fill and wide.model.steps == plain.model.steps
+    for name in ("coefficients", "means", "log_hazard"):
+        assert getattr(wide.model, name) == pytest.approx(getattr(plain.model, name), abs=1e-7)
+    assert wide.model.log_likelihood == pytest.approx(plain.model.log_likelihood, rel=1e-9)
+    assert wide.metrics["c_index"] == pytest.approx(plain.metrics["c_index"], abs=1e-6)
+    some = df.limit(200).union(df.limit(3).withColumn("machine_id", F.lit("never seen")))
+    new = predict(some, wide).toPandas().sort_values(["timestamp", "machine_id"])
+    monkeypatch.undo()
+    monkeypatch.setattr(T, "WIDE_LABELS", 1000)
+    old = predict(some, plain).toPandas().sort_values(["timestamp", "machine_id"])
+    assert new.risque.tolist() == pytest.approx(old.risque.tolist(), abs=1e-6)
+    assert new.rul_jours_estime.tolist() == old.rul_jours_estime.tolist()

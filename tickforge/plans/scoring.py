@@ -8,8 +8,8 @@ from tickforge.functions.timeexpr import days_between
 from tickforge.operators.asof import asof_all, episode_side, open_id
 from tickforge.operators.features import censoring_type, deviations
 from tickforge.operators.reference import add_age, decode, decode_plc
-from tickforge.plans.survival import median_life, risk_score
-from tickforge.plans.training import Bundle, design_columns, impute
+from tickforge.plans.survival import median_life
+from tickforge.plans.training import Bundle, add_risk
 from tickforge.schemas import HEALTHY
 from tickforge.sources.readers import look_back
 
@@ -86,8 +86,7 @@ def predict(df: DataFrame, bundle: Bundle | None) -> DataFrame:
     if bundle is None:
         return df.withColumns({"rul_jours_estime": F.lit(NO_MODEL[0]), "risque": F.lit(NO_MODEL[1])})
     names = df.columns
-    encoded = design_columns(derived_features(df).withColumn("_row", F.struct(*names)), bundle.labels, bundle.kept)
-    scored = impute(encoded, bundle.fill).withColumn("risque", risk_score(bundle.model))
+    scored = add_risk(derived_features(df).withColumn("_row", F.struct(*names)), bundle)
     scored = scored.withColumn("rul_jours_estime", median_life(bundle.model, F.col("risque")))
     return scored.select("_row.*", "rul_jours_estime", "risque")
 

@@ -67,19 +67,24 @@ class CoxModel:
     log_hazard: list[float] = field(default_factory=list)
 
 
-#: Rows of the design, and of the second-moment matrix, handled at once.
+#: Rows of the design, and of the second-moment matrix, handled at once; flags of a wide category in one panel of it,
+#: and rows whose flags are summed together.
 _ROWS = 2048
 _PANEL = 64
+_FLAG_PANEL = 1024
+_FLAG_ROWS = 1_000_000
 _SUMS = "key long, top double, sums binary"
+_TIME_SUMS = f"{_SUMS}, codes binary, weights binary"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], centre: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(time, event, centred features) of the design's rows, some at a time; unknown features are NaN."""
+def _chunks(batches: Iterator[pa.RecordBatch], centre: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(time, event, centred features, flag) of the design's rows, some at a time; unknown features are NaN."""
     for batch in batches:
         for first in range(0, len(batch), _ROWS):
             part = batch.slice(first, _ROWS)
             x = part.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1)
-            yield part.column("_t").to_numpy(), part.column("_d").fill_null(False).to_numpy(zero_copy_only=False), x - centre
+            d = part.column("_d").fill_null(False).to_numpy(zero_copy_only=False)
+            yield part.column("_t").to_numpy(), d, x - centre, part.column("_c").to_numpy()
 
 
 def _add(total: dict[int, tuple[float, np.ndarray]], key: int, top: float, sums: np.ndarray) -> None:
@@ -116,7 +121,7 @@ def _moments(p: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, tuple[float, np.ndarray]] = {}
         low, high = np.full(p, np.inf), np.full(p, -np.inf)
-        for _, d, x in _chunks(batches, np.zeros(p)):
+        for _, d, x, _ in _chunks(batches, np.zeros(p)):
             _add(total, 0, 0.0, np.concatenate([np.isfinite(x).sum(axis=0), np.nansum(x, axis=0), x[d].sum(axis=0)]))
             low, high = np.fmin(low, np.fmin.reduce(x, axis=0)), np.fmax(high, np.fmax.reduce(x, axis=0))
         yield from _packed(total)
@@ -127,46 +132,137 @@ def _moments(p: int):
     return run
 
 
-def _time_sums(centre: np.ndarray, beta: np.ndarray):
+def _flag_sums(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n_flags: int) -> Iterator[pa.RecordBatch]:
+    """Weights summed by time and flag, over the exponential of the time's largest exponent."""
+    t, c, exponent = (np.concatenate(v) for v in zip(*held, strict=True))
+    moments, place = np.unique(t, return_inverse=True)
+    top = np.full(len(moments), -np.inf)
+    np.maximum.at(top, place, exponent)
+    cells, cell = np.unique(place * n_flags + c, return_inverse=True)
+    weight = np.bincount(cell, np.exp(exponent - top[place]))
+    codes = (cells % n_flags).astype(np.int32)
+    ends = np.searchsorted(cells, np.arange(len(moments) + 1) * n_flags)
+    for i, key in enumerate(moments.tolist()):
+        some = slice(ends[i], ends[i + 1])
+        row = [pa.array([key]), pa.array([float(top[i])]), pa.array([b""]), pa.array([codes[some].tobytes()]), pa.array([weight[some].tobytes()])]
+        yield pa.RecordBatch.from_arrays(row, names=["key", "top", "sums", "codes", "weights"])
+
+
+def _time_sums(centre: np.ndarray, beta: np.ndarray, flag_beta: np.ndarray):
     """Per partition and time: largest exponent, and sums of weights and of weighted features over its exponential.
 
     Weights far apart, as of a feature that nearly tells the time, then neither overflow nor vanish.
     """
+    n_flags = len(flag_beta)
+    by_code = np.append(flag_beta, 0.0)  # the last for rows without a flag
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, tuple[float, np.ndarray]] = {}
-        for t, _, x in _chunks(batches, centre):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for t, _, x, c in _chunks(batches, centre):
             order = np.argsort(t, kind="stable")
-            t, x = t[order], x[order]
-            exponent = x @ beta
+            t, x, c = t[order], x[order], c[order]
+            exponent = x @ beta + by_code[c]
             moments, first, size = np.unique(t, return_index=True, return_counts=True)
             top = np.maximum.reduceat(exponent, first)
             weight = np.exp(exponent - np.repeat(top, size))
             sums = np.add.reduceat(np.column_stack([weight, x * weight[:, None]]), first, axis=0)
             for key, high, row in zip(moments.tolist(), top.tolist(), sums, strict=True):
                 _add(total, key, high, row)
+            if (c >= 0).any():
+                held.append((t[c >= 0], c[c >= 0], exponent[c >= 0]))
+                if sum(len(h[0]) for h in held) >= _FLAG_ROWS:
+                    yield from _flag_sums(held, n_flags)
+                    held = []
+        for batch in _packed(total):
+            none = pa.array([b""])
+            yield pa.RecordBatch.from_arrays([*batch.columns, none, none], names=["key", "top", "sums", "codes", "weights"])
+        if held:
+            yield from _flag_sums(held, n_flags)
+
+    return run
+
+
+def _merge_times(n_sums: int, n_flags: int):
+    """One row a time: the sums, then those of the flags."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, tuple[float, np.ndarray]] = {}
+        for batch in batches:
+            for key, top, sums, codes, weights in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                known, kept = total.get(key, (top, None))
+                if kept is None:
+                    kept = np.zeros(n_sums + n_flags)
+                new = max(known, top)
+                if new > known:
+                    kept *= np.exp(known - new)
+                if sums:
+                    kept[:n_sums] += np.frombuffer(sums) * np.exp(top - new)
+                if codes:
+                    kept[n_sums + np.frombuffer(codes, np.int32)] += np.frombuffer(weights) * np.exp(top - new)
+                total[key] = new, kept
         yield from _packed(total)
 
     return run
 
 
-def _gram(centre: np.ndarray, beta: np.ndarray, times: np.ndarray, log_hazard: np.ndarray):
-    """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far, by panels of rows."""
+def _gram(centre: np.ndarray, beta: np.ndarray, flag_beta: np.ndarray, times: np.ndarray, log_hazard: np.ndarray):
+    """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far, by panels of rows.
+
+    A row has one flag of the wide category at most, so that the flags' part is a diagonal; with the products of a flag
+    and the features it comes in panels of flags under the keys -1, -2, ...
+    """
+    n_flags = len(flag_beta)
+    by_code = np.append(flag_beta, 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = len(centre)
         total = np.zeros((p, p))
-        for t, _, x in _chunks(batches, centre):
+        flags = np.zeros((n_flags, 1 + p))
+        for t, _, x, c in _chunks(batches, centre):
             place = np.searchsorted(times, t, side="right") - 1
-            x, place = x[place >= 0], place[place >= 0]
+            x, c, place = x[place >= 0], c[place >= 0], place[place >= 0]
             # Deaths expected of a row: at most as many as there are, however large either factor.
-            x = x * np.exp((x @ beta + log_hazard[place]) / 2)[:, None]
+            root = np.exp((x @ beta + by_code[c] + log_hazard[place]) / 2)[:, None]
+            x = x * root
             total += x.T @ x
+            order = np.argsort(c, kind="stable")[np.count_nonzero(c < 0) :]
+            if len(order):
+                codes, first = np.unique(c[order], return_index=True)
+                flags[codes] += np.add.reduceat((np.column_stack([root, x]) * root)[order], first, axis=0)
         yield from _packed({first: (0.0, total[first : first + _PANEL]) for first in range(0, p, _PANEL)})
+        panels = {-1 - i: (0.0, flags[first : first + _FLAG_PANEL]) for i, first in enumerate(range(0, n_flags, _FLAG_PANEL))}
+        yield from _packed({k: v for k, v in panels.items() if v[1].any()})
 
     return run
 
 
+def _newton_move(square: np.ndarray, flags: np.ndarray, means: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """Solves (S - M' M) move = slope, where S has ``square`` for the features, ``flags`` (own diagonal, then the products
+    with the features) for the flags, and M (``means``) has one row a time.
+
+    The flags are eliminated first, which leaves one unknown a feature and one a time, however many flags there are.
+    """
+    p = len(square)
+    if not len(flags):
+        return np.linalg.solve(square - means.T @ means, slope)
+    own, cross = flags[:, :1], flags[:, 1:]
+    m, f = means[:, :p], means[:, p:]
+
+    def solve(rhs: np.ndarray) -> np.ndarray:
+        left = m - f @ (cross / own)
+        inner = np.block([[square - cross.T @ (cross / own), -left.T], [left, f @ (f.T / own) - np.eye(len(m))]])
+        known = rhs[p:, None] / own
+        both = np.linalg.solve(inner, np.concatenate([rhs[:p] - (cross.T @ known)[:, 0], -(f @ known)[:, 0]]))
+        rest = (rhs[p:] - cross @ both[:p] + f.T @ both[p:]) / own[:, 0]
+        return np.concatenate([both[:p], rest])
+
+    move = solve(slope)
+    through = means.T @ (means @ move)
+    kept = np.concatenate([square @ move[:p] + cross.T @ move[p:], cross @ move[:p] + own[:, 0] * move[p:]])
+    return move + solve(slope - kept + through)  # once refined
+
+
 def fit_cox(
     df: DataFrame,
     features: list[str],
@@ -176,6 +272,7 @@ def fit_cox(
     grid: float = GRID_DAYS,
     max_steps: int = 30,
     tolerance: float = 1e-9,
+    wide: tuple[str, list[str]] | None = None,
 ) -> CoxModel:
     """Proportional hazards by Newton steps: maximises log likelihood - alpha / 2 * (sum of squared coefficients).
 
@@ -186,13 +283,19 @@ def fit_cox(
     set of all times up to its own, the second-moment part of the Hessian is one p x p
     sum with each row weighted by the cumulative hazard at its time. Rows without a
     known time are in no risk set. What reaches the driver is one array of p + 1 numbers per grid time and one p x p matrix.
+
+    ``wide`` names one column of numbers and the 0/1 features that they stand for: number k (null: none) sets the k-th.
+    These need no columns, and no p x p matrix: a row has one at most, so that theirs is a diagonal.
     """
-    p = len(features)
-    names = list(features)
+    number, flag_names = wide or (None, [])
+    place_of = {c: i for i, c in enumerate(features)}
+    names = [c for c in features if c not in set(flag_names)]
+    p, n_flags = len(names), len(flag_names)
     design = df.select(
         F.col(time).cast("long").alias("_t"),
         F.col(event).cast("boolean").alias("_d"),
-        F.array(*[F.col(f"`{c}`").cast("double") for c in names]).alias("x"),
+        F.array(*[F.col(f"`{c}`").cast("double") for c in names]).cast("array<double>").alias("x"),
+        F.coalesce(F.col(number).cast("int") if wide else F.lit(None), F.lit(-1)).alias("_c"),
     ).filter("_t is not null").persist()
     try:
         deaths = design.groupBy("_t").agg(F.count(F.lit(1)).alias("n"), F.count_if("_d").alias("d")).toPandas().sort_values("_t")
@@ -210,9 +313,19 @@ def fit_cox(
         centre = total / known
         varies = high.max(axis=0) - low.min(axis=0) > 1e-12
         event_sum = at_events - d.sum() * centre
+        # Flags stay 0 or 1 in all sums; their means only move the hazard, at the end.
+        share = np.zeros(n_flags)
+        if n_flags:
+            dead = np.zeros(n_flags)
+            for r in design.filter("_c >= 0").groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.count_if("_d").alias("d")).collect():
+                share[r["_c"]], dead[r["_c"]] = r["n"] / n, r["d"]
+            varies = np.concatenate([varies, (share > 0) & (share < 1)])
+            event_sum = np.concatenate([event_sum, dead])
 
         def risk_sets(beta: np.ndarray):
-            table = _sums_by_key(design, _time_sums(centre, beta))
+            sums = design.mapInArrow(_time_sums(centre, beta[:p], beta[p:]), _TIME_SUMS).repartition("key")
+            rows = sums.mapInArrow(_merge_times(1 + p, n_flags), _SUMS).collect()
+            table = {r["key"]: (r["top"], np.frombuffer(r["sums"])) for r in rows}
             at = np.array(sorted(table))
             peak = np.array([table[t][0] for t in at.tolist()])
             from_here = np.stack([table[t][1] for t in at.tolist()])
@@ -226,16 +339,25 @@ def fit_cox(
             fit = event_sum @ beta - (d * log_s0).sum()
             return log_s0, mean, (fit - 0.5 * alpha * beta @ beta) / n
 
-        beta = np.zeros(p)
+        beta = np.zeros(p + n_flags)
         log_s0, mean, value = risk_sets(beta)
         steps, converged = 0, False
         for steps in range(1, max_steps + 1):
             slope = (event_sum - (d[:, None] * mean).sum(axis=0)) / n - alpha / n * beta
             log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
-            panels = _sums_by_key(design, _gram(centre, beta, death_at, log_hazard))
-            second = np.concatenate([panels[k][1].reshape(-1, p) for k in sorted(panels)])
-            curve = (second - (mean * d[:, None]).T @ mean) / n + alpha / n * np.eye(p)
-            move = np.where(varies, np.linalg.solve(curve, slope), 0.0)
+            panels = _sums_by_key(design, _gram(centre, beta[:p], beta[p:], death_at, log_hazard))
+            second = np.zeros((p, p))
+            flags = np.zeros((n_flags, 1 + p))
+            for key, (_, sums) in panels.items():
+                if key >= 0:
+                    second[key : key + _PANEL] = sums.reshape(-1, p)
+                else:
+                    first = (-1 - key) * _FLAG_PANEL
+                    flags[first : first + _FLAG_PANEL] = sums.reshape(-1, 1 + p)
+            flags /= n
+            flags[:, 0] += alpha / n
+            move = _newton_move(second / n + alpha / n * np.eye(p), flags, mean * np.sqrt(d / n)[:, None], slope)
+            move = np.where(varies, move, 0.0)
             gain = 1.0
             for _ in range(20):  # halve until the objective does not fall
                 log_s0_new, mean_new, new = risk_sets(beta + gain * move)
@@ -249,13 +371,16 @@ def fit_cox(
             log_s0, mean, value = log_s0_new, mean_new, new
             if converged:
                 break
-        log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
+        # Centred as the risk is: exponents without the flags' means.
+        log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0) + share @ beta[p:]
     finally:
         design.unpersist()
+    order = np.argsort([place_of[c] for c in [*names, *flag_names]])
+    beta, centre = beta[order], np.concatenate([centre, share])[order]
     with np.errstate(over="ignore"):
         hazard = np.exp(log_hazard)
     return CoxModel(
-        names,
+        list(features),
         beta.tolist(),
         centre.tolist(),
         (death_at * grid).tolist(),

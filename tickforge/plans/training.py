@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickforge.functions.mathexpr import grid_index
 from tickforge.operators.features import is_stop
@@ -32,6 +34,8 @@ TEST_SHARE = 0.2
 HORIZON_DAYS = (1, 2, 7)
 SCORED_ROWS = 20_000
 MAX_CATEGORIES = 10_000
+#: A category of more labels is joined to its codes, and one such category of a model needs no one-hot columns.
+WIDE_LABELS = 64
 
 
 def category_tables(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -65,13 +69,26 @@ def category_labels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
 def encode_categories(df: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
     """Columns replaced by their code; unknown and null labels become -1."""
     codes = {}
+    order = df.columns
     for c, values in labels.items():
-        if values:
+        if len(values) > WIDE_LABELS:
+            df = with_label_value(df, c, dict(zip(values, range(len(values)))), "_code", "int")
+            df = df.withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
+        elif values:
             table = F.create_map(*[F.lit(x) for i, v in enumerate(values) for x in (v, i)])
             codes[c] = F.coalesce(F.try_element_at(table, F.col(c).cast("string")), F.lit(-1))
         else:
             codes[c] = F.lit(-1)
-    return df.withColumns(codes)
+    return df.withColumns(codes).select(*[f"`{c}`" for c in order])
+
+
+def with_label_value(df: DataFrame, column: str, values: dict[str, int] | dict[str, float], name: str, kind: str) -> DataFrame:
+    """Adds the value of the column's label, null for other labels, by a join: a map in the plan is searched row by row."""
+    schema = T.StructType([T.StructField("_label", T.StringType()), T.StructField(name, T.IntegerType() if kind == "int" else T.DoubleType())])
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(v, f.type) for v, f in zip((values.keys(), values.values()), arrow, strict=True)]
+    table = df.sparkSession.createDataFrame(pa.Table.from_arrays(arrays, names=arrow.names))
+    return df.join(F.broadcast(table), F.col(f"`{column}`").cast("string") == F.col("_label"), "left").drop("_label")
 
 
 def survival_rows(features: DataFrame) -> DataFrame:
@@ -157,17 +174,41 @@ def hot_names(labels: dict[str, list[str]], kept: list[str]) -> list[str]:
     return plain + [f"{c}_{v}" for c in kept if c in labels for v in labels[c][1:]]
 
 
+def wide_category(labels: dict[str, list[str]], kept: list[str]) -> str | None:
+    """The kept category of the most labels, if those are too many for columns."""
+    found = max((c for c in kept if c in labels), key=lambda c: len(labels[c]), default=None)
+    return found if found is not None and len(labels[found]) > WIDE_LABELS else None
+
+
+def add_risk(df: DataFrame, bundle: Bundle) -> DataFrame:
+    """Design columns, filled, and ``risque``. Flags of a wide category are no columns: their part is one joined value."""
+    model, wide = bundle.model, wide_category(bundle.labels, bundle.kept)
+    if wide is None:
+        filled = impute(design_columns(df, bundle.labels, bundle.kept), bundle.fill)
+        return filled.withColumn("risque", risk_score(model))
+    label_of = {f"{wide}_{v}": v for v in bundle.labels[wide][1:]}
+    weights = dict(zip(model.features, zip(model.coefficients, model.means)))
+    if wide not in df.columns:
+        df = df.withColumn(wide, F.lit(None).cast("string"))
+    df = with_label_value(df, wide, {v: weights[c][0] for c, v in label_of.items()}, "_flag", "double")
+    at_mean = sum(weights[c][0] * weights[c][1] for c in label_of)
+    df = design_columns(df, {c: v for c, v in bundle.labels.items() if c != wide}, [c for c in bundle.kept if c != wide])
+    filled = impute(df.drop(wide), {c: v for c, v in bundle.fill.items() if c not in label_of})
+    columns = [c for c in model.features if c not in label_of]
+    rest = replace(model, features=columns, coefficients=[weights[c][0] for c in columns], means=[weights[c][1] for c in columns])
+    return filled.withColumn("risque", risk_score(rest) + F.coalesce("_flag", F.lit(0.0)) - at_mean).drop("_flag")
+
+
 def evaluate(
-    train: DataFrame, test: DataFrame, model: CoxModel, rows: int | None = None, key: str = "timestamp"
+    train: DataFrame, scored: DataFrame, rows: int | None = None, key: str = "timestamp"
 ) -> dict:
-    """c-index and AUC per horizon. ``rows`` draws a fixed random subset, as a sampling
+    """c-index and AUC per horizon of rows with their ``risque``. ``rows`` draws a fixed random subset, as a sampling
     operator; None scores the whole test set, which the exact rank counts allow."""
-    scored = test.withColumn("risque", risk_score(model))
     if rows is not None:
         draw = F.xxhash64(F.lit(42), F.col(key).cast("string"), F.col("machine_row").cast("string"))
         scored = scored.orderBy(draw).limit(rows)
     # Written once: the rank counts below start from three columns, not from the plan of all design columns.
-    checkpoint_dir(test.sparkSession)
+    checkpoint_dir(scored.sparkSession)
     slim = scored.select("time_index", "event_observe", "risque").checkpoint()
     c = concordance(slim, "time_index", "event_observe", "risque").first()
     horizons = [round(h / GRID_DAYS) for h in HORIZON_DAYS]
@@ -214,16 +255,19 @@ def train(
     plain_train = recent(plain_train)
     used = {c: labels[c] for c in kept if c in labels}
     columns = hot_names(used, kept)
-    train_x = design_columns(plain_train, used, kept)
-    test_x = design_columns(plain_test, used, kept)
-    plain = medians(train_x, [c for c in columns if c in kept])
+    plain = medians(plain_train, [c for c in columns if c in kept])
     # A flag is never unknown; its median follows from the label's count.
     fill = {**plain, **flag_medians(plain_train, used)}
+    many = wide_category(used, kept)
+    flags = None
+    if many is not None:
+        flags = ("_flag", [f"{many}_{v}" for v in used[many][1:]])
+        plain_train = with_label_value(plain_train, many, {v: i for i, v in enumerate(used[many][1:])}, "_flag", "int")
+    train_x = design_columns(plain_train, {c: v for c, v in used.items() if c != many}, [c for c in kept if c != many])
     train_x = impute(train_x, plain).checkpoint()
-    test_x = impute(test_x, plain)
-    model = fit_cox(train_x, columns, "time_index", "event_observe", alpha)
+    model = fit_cox(train_x, columns, "time_index", "event_observe", alpha, wide=flags)
     bundle = Bundle(model, used, kept, columns, fill)
-    bundle.metrics = evaluate(train_x, test_x, model, scored_rows)
+    bundle.metrics = evaluate(train_x, add_risk(plain_test, bundle), scored_rows)
     return bundle
 
 
