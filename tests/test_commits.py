@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tickforge.functions.text import base_name
 from tickforge.operators.episodes import alert_and_maintenance_episodes, episodes_by_kind
 from tickforge.plans import star
 from tickforge.schemas import GAME_LOG
@@ -105,3 +106,15 @@ def test_both_kinds_in_one_pass_equal_two_passes(spark):
     want = want.union(m.select(F.lit("maintenance"), "debut_panne", "fin_panne", "id_panne", "id_machine"))
     assert sorted(map(tuple, episodes_by_kind(df, alerts, jobs).collect())) == sorted(map(tuple, want.collect()))
     assert episodes_by_kind(df.limit(0), alerts, jobs).count() == 0
+
+
+def test_lines_travel_slim_and_names_are_made_once(spark):
+    """No run id goes through the joins of the facts, and a path is evaluated once where its name is asked for."""
+    log = star.with_run(game(spark, "20260101_101010", 1), F.concat(F.lit("/x/"), "match_id", F.lit("_20260101_101010.jsonl")))
+    joins = star.turn_facts(log, spark.createDataFrame([], star.KEYS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in joins.split("Join")[0] and "sha2" not in joins.split("Join")[-1]
+    paths = ["/x/duel_20260101_101010.jsonl", "a", "a.b.c", ".h", "x/", "", "a..b", "/x.y/z", "a.", None]
+    named = spark.createDataFrame([(p,) for p in paths], "p string").select(base_name(F.col("p")).alias("n"))
+    assert [r.n for r in named.collect()] == ["duel_20260101_101010", "a", "a.b", "", "", "", "a.", "z", "a", None]
+    once = spark.range(1).select(base_name(F.concat(F.lit("/x/"), F.uuid())).alias("n"))
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("uuid") == 1

@@ -25,8 +25,10 @@ keys AS (SELECT agent_id, row_number() OVER (ORDER BY agent_id)::INTEGER AS agen
 
 def game_log(spark, folder) -> DataFrame:
     """Order lines as turns of a game: part against supplier, one run per ship year."""
+    # Digits of the year for a formatter's call a line; years of other lengths keep that.
     lines = table(spark, folder, "lineitem").selectExpr(
-        "concat('/bronze/duel_', date_format(date_trunc('year', l_shipdate), 'yyyyMMdd_HHmmss'), '.jsonl') AS source_file",
+        """concat('/bronze/duel_', CASE WHEN year(l_shipdate) BETWEEN 1000 AND 9999 THEN concat(year(l_shipdate), '0101_000000')
+          ELSE date_format(date_trunc('year', l_shipdate), 'yyyyMMdd_HHmmss') END, '.jsonl') AS source_file""",
         "string(l_orderkey) AS match_id",
         "concat('P', l_partkey) AS agent1_id",
         "concat('S', l_suppkey) AS agent2_id",
@@ -119,7 +121,7 @@ def star_runs_written(spark, folder):
     star.write_runs(spark, log.filter("run_ts < timestamp_ntz'1995-01-01'"), root, last)
     star.write_runs(spark, log, root, last)
     again = star.write_runs(spark, log, root, last)
-    keys = keys_of(log)
+    keys = read_committed(spark, root, "agent_keys", star.KEYS)
     facts, matches, agents = (
         read_committed(spark, root, name, like.schema)
         for name, like in (

@@ -55,7 +55,8 @@ def run_timestamp(base_name: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    """File name without folder and last extension."""
-    name = F.substring_index(path, "/", -1)
-    extension = F.substring_index(name, ".", -1)
-    return F.when(F.contains(name, F.lit(".")), F.left(name, F.length(name) - F.length(extension) - 1)).otherwise(name)
+    """File name without folder and last extension.
+
+    The path appears once: in a filter its expression would be evaluated again for each mention.
+    """
+    return F.regexp_replace(F.substring_index(path, "/", -1), r"\.[^.]*\z", "")

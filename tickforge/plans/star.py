@@ -42,8 +42,13 @@ def _with_keys(log: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def turn_facts(log: DataFrame, keys: DataFrame) -> DataFrame:
-    """Two rows per turn, one from each agent's side."""
-    keyed = _with_keys(log, keys).withColumn("played_at", F.to_timestamp("timestamp"))
+    """Two rows per turn, one from each agent's side.
+
+    Only what a fact needs travels to the joins: the run's name, of which its id is made afterwards, and the parsed instant.
+    """
+    used = [f"agent{side}_{c}" for side in (1, 2) for c in ("id", "choice", "gain", "cumulative_score", "justification")]
+    slim = log.select("run_name", "match_id", "turn", F.to_timestamp("timestamp").alias("played_at"), *used)
+    keyed = _with_keys(slim, keys).withColumn("run_id", run_id(F.col("run_name")))
     pairs = {
         "agent_key": ("agent1_key", "agent2_key"),
         "opponent_key": ("agent2_key", "agent1_key"),
@@ -83,10 +88,18 @@ def match_dimension(log: DataFrame, keys: DataFrame, sequence: Column) -> DataFr
     )
 
 
+def run_agents(log: DataFrame) -> DataFrame:
+    """Distinct agents of each run over both roles."""
+    return log.select("run_name", F.explode(F.array("agent1_id", "agent2_id")).alias("agent_id")).distinct()
+
+
 def agent_dimension(log: DataFrame, keys: DataFrame) -> DataFrame:
     """Agents of each run with their keys."""
-    seen = log.select("run_name", F.explode(F.array("agent1_id", "agent2_id")).alias("agent_id")).distinct()
-    return _run_fields(seen).join(keys, "agent_id").select("run_id", "agent_key", "agent_id")
+    return _named_agents(run_agents(log), keys)
+
+
+def _named_agents(seen: DataFrame, keys: DataFrame) -> DataFrame:
+    return _run_fields(seen.join(keys, "agent_id")).select("run_id", "agent_key", "agent_id")
 
 
 KEYS = T.StructType([T.StructField("agent_id", T.StringType()), T.StructField("agent_key", T.IntegerType())])
@@ -100,17 +113,21 @@ def write_runs(spark: SparkSession, log: DataFrame, root: str, sequence: Column,
     """
     checkpoint_dir(spark)
     done = commits(spark, root, "run").select(F.col("item").alias("run_id"))
-    runs = unprocessed(log.select("run_id").distinct(), done).checkpoint()
+    # The id is a digest of the name: made once a run, not once a line.
+    named = log.select("run_name").distinct().withColumn("run_id", run_id(F.col("run_name")))
+    runs = unprocessed(named, done).checkpoint()
     count = runs.count()
     if not count:
         return 0
-    fresh = log.join(runs, "run_id", "left_semi")
+    fresh = log.join(runs.select("run_name"), "run_name", "left_semi")
+    # Agents by run serve the new keys and the agent table: found once.
+    seen = run_agents(fresh).checkpoint()
     known = read_committed(spark, root, "agent_keys", KEYS)
-    keys = agent_keys(fresh, known, small_rows).select("agent_id", F.col("agent_key").cast("int").alias("agent_key")).checkpoint()
+    keys = extend_keys(known, seen, "agent_id", "agent_key", small_rows).select("agent_id", F.col("agent_key").cast("int").alias("agent_key")).checkpoint()
     tables = {
         "fact_turn_play": turn_facts(fresh, keys),
         "dim_match": match_dimension(fresh, keys, sequence),
-        "dim_agent": agent_dimension(fresh, keys),
+        "dim_agent": _named_agents(seen, keys),
         "agent_keys": keys.join(known.select("agent_id"), "agent_id", "left_anti"),
     }
     by_run = {name: ["run_id"] for name in ("fact_turn_play", "dim_match", "dim_agent")}
