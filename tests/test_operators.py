@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from tests.conftest import rows
 from tickforge.functions import compact_utc, epoch_ns, from_epoch_ns, half_even_long, is_close, on_grid, safe_ratio, week_index
 from tickforge.operators import quality
 from tickforge.operators.asof import active_episode, asof_join
-from tickforge.operators.cleaning import clean_sensors, fill_gaps, flag_stuck
+from tickforge.operators.cleaning import centred_medians, clean_sensors, fill_gaps, flag_stuck
 from tickforge.operators.episodes import attach_label_ids, build_episodes, sector_history, split_by_prefix
 from tickforge.operators.features import censoring_type, deviations, recent_report, since_last_stop
 from tickforge.operators.ordering import exact_quantiles, rank_all
@@ -429,3 +430,19 @@ def test_series_query_takes_many_machines(spark, folder):
 
     spark.range(10_500).selectExpr("timestamp'2024-01-01' as ts", "id as user_id", "double(id) as value").write.parquet(f"{folder}/events.parquet")
     assert machine_series(spark, folder).count() == 10_500
+
+
+def test_medians_of_short_histories_sort_once(monkeypatch):
+    """Same medians as frame by frame; a history no longer than half a frame is not copied into frames."""
+    rng = np.random.default_rng(3)
+    for n, half, least in ((0, 4, 1), (1, 4, 1), (5, 4, 3), (6, 4, 3), (9, 4, 6), (30, 4, 2), (30, 40, 15), (30, 29, 31)):
+        values = np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n))
+        want = []
+        for i in range(n):
+            frame = values[max(0, i - half) : i + half + 1]
+            frame = frame[~np.isnan(frame)]
+            want.append(np.median(frame) if len(frame) >= max(1, least) else np.nan)
+        with monkeypatch.context() as m:
+            if n <= half + 1:
+                m.setattr(np.lib.stride_tricks, "sliding_window_view", None)
+            np.testing.assert_array_equal(centred_medians(values, half, least), want)

@@ -77,3 +77,26 @@ def test_rows_without_a_key_are_cut_too(spark):
         want += r["v"]
         assert r["s"] == want
     assert len(out) == 1500
+
+
+def test_blocks_are_cut_from_sorted_batches():
+    """Blocks of equal keys over any batches, null and NaN keys too; one call a block."""
+    import pyarrow as pa
+
+    from tickforge.operators.timeline import _blocks_function
+
+    keys = [None, None, "a", "a", "a", "b", "b", "c", "c", "c", "c"]
+    real = [1.0, 1.0, 1.0, 1.0, float("nan"), float("nan"), float("nan"), None, None, 2.0, 2.0]
+    whole = pa.table({"k": keys, "x": pa.array(real, pa.float64()), "v": list(range(11))})
+    for size in (1, 2, 3, 5, 11):
+        sizes = []
+
+        def run(table):
+            sizes.append(len(table))
+            return table.append_column("n", pa.array([len(table)] * len(table)))
+
+        out = list(_blocks_function(run, ["k", "x"])(iter([pa.record_batch(whole.schema.empty_table().to_pydict(), whole.schema), *whole.to_batches(size)])))
+        assert sizes == [2, 2, 1, 2, 2, 2]
+        assert [v for b in out for v in b.column("v").to_pylist()] == list(range(11))
+        assert [v for b in out for v in b.column("n").to_pylist()] == [2, 2, 2, 2, 1, 2, 2, 2, 2, 2, 2]
+    assert list(_blocks_function(run, ["k"])(iter([]))) == []

@@ -87,11 +87,18 @@ def _numbers(column: pa.ChunkedArray) -> np.ndarray:
 def centred_medians(values: np.ndarray, half: int, least: int, chunk: int = 2048) -> np.ndarray:
     """Median of the values at most ``half`` places away; NaN where fewer than ``least`` are known.
 
-    Frames are sorted some rows at a time, missing values last, and the middle is picked.
+    Frames are sorted some rows at a time, missing values last, and the middle is picked. Of a short
+    history every frame holds all values: they are sorted once.
     """
     out = np.full(len(values), np.nan)
     if not len(values):
         return out
+    if len(values) <= half + 1:
+        ordered = np.sort(values[~np.isnan(values)])
+        if len(ordered) >= max(1, least):
+            out[:] = (ordered[(len(ordered) - 1) // 2] + ordered[len(ordered) // 2]) / 2
+        return out
+    half = min(half, len(values) - 1)  # nothing lies further away
     edge = np.full(half, np.nan)
     frames = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, values, edge]), 2 * half + 1)
     for first in range(0, len(values), chunk):
