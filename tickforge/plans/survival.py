@@ -67,14 +67,15 @@ class CoxModel:
     log_hazard: list[float] = field(default_factory=list)
 
 
-#: Rows of the design, and of the second-moment matrix, handled at once; flags of a wide category in one panel of it,
-#: and rows whose flags are summed together.
+#: Rows of the design, and of the second-moment matrix, handled at once; flags of a wide category handled at once (with
+#: all times at most so many cells), and numbers held of them before a task passes them on.
 _ROWS = 2048
 _PANEL = 64
 _FLAG_PANEL = 1024
-_FLAG_ROWS = 1_000_000
+_FLAG_CELLS = 1 << 20
+_HELD = 4_000_000
 _SUMS = "key long, top double, sums binary"
-_TIME_SUMS = f"{_SUMS}, codes binary, weights binary"
+_FLAG_SUMS = "key long, codes binary, sums binary, cells binary, weights binary"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], centre: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -132,33 +133,15 @@ def _moments(p: int):
     return run
 
 
-def _flag_sums(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n_flags: int) -> Iterator[pa.RecordBatch]:
-    """Weights summed by time and flag, over the exponential of the time's largest exponent."""
-    t, c, exponent = (np.concatenate(v) for v in zip(*held, strict=True))
-    moments, place = np.unique(t, return_inverse=True)
-    top = np.full(len(moments), -np.inf)
-    np.maximum.at(top, place, exponent)
-    cells, cell = np.unique(place * n_flags + c, return_inverse=True)
-    weight = np.bincount(cell, np.exp(exponent - top[place]))
-    codes = (cells % n_flags).astype(np.int32)
-    ends = np.searchsorted(cells, np.arange(len(moments) + 1) * n_flags)
-    for i, key in enumerate(moments.tolist()):
-        some = slice(ends[i], ends[i + 1])
-        row = [pa.array([key]), pa.array([float(top[i])]), pa.array([b""]), pa.array([codes[some].tobytes()]), pa.array([weight[some].tobytes()])]
-        yield pa.RecordBatch.from_arrays(row, names=["key", "top", "sums", "codes", "weights"])
-
-
 def _time_sums(centre: np.ndarray, beta: np.ndarray, flag_beta: np.ndarray):
     """Per partition and time: largest exponent, and sums of weights and of weighted features over its exponential.
 
     Weights far apart, as of a feature that nearly tells the time, then neither overflow nor vanish.
     """
-    n_flags = len(flag_beta)
     by_code = np.append(flag_beta, 0.0)  # the last for rows without a flag
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, tuple[float, np.ndarray]] = {}
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for t, _, x, c in _chunks(batches, centre):
             order = np.argsort(t, kind="stable")
             t, x, c = t[order], x[order], c[order]
@@ -169,98 +152,163 @@ def _time_sums(centre: np.ndarray, beta: np.ndarray, flag_beta: np.ndarray):
             sums = np.add.reduceat(np.column_stack([weight, x * weight[:, None]]), first, axis=0)
             for key, high, row in zip(moments.tolist(), top.tolist(), sums, strict=True):
                 _add(total, key, high, row)
-            if (c >= 0).any():
-                held.append((t[c >= 0], c[c >= 0], exponent[c >= 0]))
-                if sum(len(h[0]) for h in held) >= _FLAG_ROWS:
-                    yield from _flag_sums(held, n_flags)
-                    held = []
-        for batch in _packed(total):
-            none = pa.array([b""])
-            yield pa.RecordBatch.from_arrays([*batch.columns, none, none], names=["key", "top", "sums", "codes", "weights"])
-        if held:
-            yield from _flag_sums(held, n_flags)
-
-    return run
-
-
-def _merge_times(n_sums: int, n_flags: int):
-    """One row a time: the sums, then those of the flags."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, tuple[float, np.ndarray]] = {}
-        for batch in batches:
-            for key, top, sums, codes, weights in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                known, kept = total.get(key, (top, None))
-                if kept is None:
-                    kept = np.zeros(n_sums + n_flags)
-                new = max(known, top)
-                if new > known:
-                    kept *= np.exp(known - new)
-                if sums:
-                    kept[:n_sums] += np.frombuffer(sums) * np.exp(top - new)
-                if codes:
-                    kept[n_sums + np.frombuffer(codes, np.int32)] += np.frombuffer(weights) * np.exp(top - new)
-                total[key] = new, kept
         yield from _packed(total)
 
     return run
 
 
 def _gram(centre: np.ndarray, beta: np.ndarray, flag_beta: np.ndarray, times: np.ndarray, log_hazard: np.ndarray):
-    """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far, by panels of rows.
-
-    A row has one flag of the wide category at most, so that the flags' part is a diagonal; with the products of a flag
-    and the features it comes in panels of flags under the keys -1, -2, ...
-    """
-    n_flags = len(flag_beta)
+    """Per partition: sum of x x' weighted by exp(x beta) times the hazard so far, by panels of rows."""
     by_code = np.append(flag_beta, 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = len(centre)
         total = np.zeros((p, p))
-        flags = np.zeros((n_flags, 1 + p))
         for t, _, x, c in _chunks(batches, centre):
             place = np.searchsorted(times, t, side="right") - 1
             x, c, place = x[place >= 0], c[place >= 0], place[place >= 0]
             # Deaths expected of a row: at most as many as there are, however large either factor.
-            root = np.exp((x @ beta + by_code[c] + log_hazard[place]) / 2)[:, None]
-            x = x * root
+            x = x * np.exp((x @ beta + by_code[c] + log_hazard[place]) / 2)[:, None]
             total += x.T @ x
-            order = np.argsort(c, kind="stable")[np.count_nonzero(c < 0) :]
-            if len(order):
-                codes, first = np.unique(c[order], return_index=True)
-                flags[codes] += np.add.reduceat((np.column_stack([root, x]) * root)[order], first, axis=0)
         yield from _packed({first: (0.0, total[first : first + _PANEL]) for first in range(0, p, _PANEL)})
-        panels = {-1 - i: (0.0, flags[first : first + _FLAG_PANEL]) for i, first in enumerate(range(0, n_flags, _FLAG_PANEL))}
-        yield from _packed({k: v for k, v in panels.items() if v[1].any()})
 
     return run
 
 
-def _newton_move(square: np.ndarray, flags: np.ndarray, means: np.ndarray, slope: np.ndarray) -> np.ndarray:
-    """Solves (S - M' M) move = slope, where S has ``square`` for the features, ``flags`` (own diagonal, then the products
-    with the features) for the flags, and M (``means``) has one row a time.
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, sums of their values)."""
+    order = np.argsort(keys, kind="stable")
+    some, first = np.unique(keys[order], return_index=True)
+    return some, np.add.reduceat(values[order], first, axis=0) if len(some) else values
+
+
+def _flag_sums(
+    centre: np.ndarray, beta: np.ndarray, flag_beta: np.ndarray, times: np.ndarray, log_hazard: np.ndarray, peak: np.ndarray, width: int
+):
+    """Per partition, by panels of flags: the flags' part of the second moments, and weights by time and flag.
 
-    The flags are eliminated first, which leaves one unknown a feature and one a time, however many flags there are.
+    A row has one flag at most: the flags' own second moments are a diagonal, beside their products with the features.
+    Weights are over the exponential of ``peak``, the largest exponent of the rows at risk from a time on.
     """
-    p = len(square)
-    if not len(flags):
-        return np.linalg.solve(square - means.T @ means, slope)
-    own, cross = flags[:, :1], flags[:, 1:]
-    m, f = means[:, :p], means[:, p:]
+    by_code = np.append(flag_beta, 0.0)
+    n_times = len(times)
+
+    def packed(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        codes, sums = _summed(*(np.concatenate(v) for v in list(zip(*held, strict=True))[:2]))
+        cells, weights = _summed(*(np.concatenate(v) for v in list(zip(*held, strict=True))[2:]))
+        for panel in np.unique(codes // width).tolist():
+            some = slice(*np.searchsorted(codes, [panel * width, (panel + 1) * width]))
+            part = slice(*np.searchsorted(cells, [panel * width * n_times, (panel + 1) * width * n_times]))
+            row = [codes[some] - panel * width, sums[some], cells[part] - panel * width * n_times, weights[part]]
+            arrays = [pa.array([panel]), *(pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in row)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "codes", "sums", "cells", "weights"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        numbers = 0
+        for t, _, x, c in _chunks(batches, centre):
+            place = np.searchsorted(times, t, side="right") - 1
+            some = (place >= 0) & (c >= 0)
+            if not some.any():
+                continue
+            x, c, place = x[some], c[some].astype(np.int64), place[some]
+            exponent = x @ beta + by_code[c]
+            expected = np.exp(exponent + log_hazard[place])[:, None]
+            held.append((*_summed(c, np.column_stack([expected, x * expected])), *_summed(c * n_times + place, np.exp(exponent - peak[place]))))
+            numbers += held[-1][1].size + held[-1][3].size
+            if numbers >= _HELD:
+                yield from packed(held)
+                held, numbers = [], 0
+        if held:
+            yield from packed(held)
+
+    return run
 
-    def solve(rhs: np.ndarray) -> np.ndarray:
-        left = m - f @ (cross / own)
-        inner = np.block([[square - cross.T @ (cross / own), -left.T], [left, f @ (f.T / own) - np.eye(len(m))]])
-        known = rhs[p:, None] / own
-        both = np.linalg.solve(inner, np.concatenate([rhs[:p] - (cross.T @ known)[:, 0], -(f @ known)[:, 0]]))
-        rest = (rhs[p:] - cross @ both[:p] + f.T @ both[p:]) / own[:, 0]
-        return np.concatenate([both[:p], rest])
 
-    move = solve(slope)
-    through = means.T @ (means @ move)
-    kept = np.concatenate([square @ move[:p] + cross.T @ move[p:], cross @ move[:p] + own[:, 0] * move[p:]])
-    return move + solve(slope - kept + through)  # once refined
+def _merge_flags(n_sums: int):
+    """One row a panel, of rows in the order of their panels."""
+
+    def packed(key: int, held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        codes, sums, cells, weights = (np.concatenate(v) for v in zip(*held, strict=True))
+        row = [*_summed(codes, sums), *_summed(cells, weights)]
+        arrays = [pa.array([key]), *(pa.array([v.tobytes()], pa.binary()) for v in row)]
+        return pa.RecordBatch.from_arrays(arrays, names=["key", "codes", "sums", "cells", "weights"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        last = None
+        for key, *row in _flag_rows(batches, n_sums):
+            if held and key != last:
+                yield packed(last, held)
+                held = []
+            last = key
+            held.append(row)
+        if held:
+            yield packed(last, held)
+
+    return run
+
+
+def _flag_rows(batches: Iterator[pa.RecordBatch], n_sums: int) -> Iterator[tuple]:
+    """(panel, flags in it, their sums, (flag, time) cells, their weights) of each row."""
+    for batch in batches:
+        for i in range(len(batch)):
+            key, codes, sums, cells, weights = (column[i].as_py() for column in batch.columns)
+            yield key, np.frombuffer(codes, np.int64), np.frombuffer(sums).reshape(-1, n_sums), np.frombuffer(cells, np.int64), np.frombuffer(weights)
+
+
+class _FlagSystem:
+    """The flags' part of a Newton step from rows of ``_merge_flags``: a panel at a time, whatever the number of flags.
+
+    S - M' M has, for the flags, the diagonal ``own`` and the products ``cross`` with the features in S, and in M one row
+    a time: the share of the weights at risk that the flag has.
+    """
+
+    def __init__(self, n: int, p: int, width: int, ridge: float, d: np.ndarray, peak: np.ndarray, log_s0: np.ndarray, beta: np.ndarray, dead: np.ndarray):
+        self.n, self.p, self.width, self.ridge, self.d, self.beta, self.dead = n, p, width, ridge, d, beta, dead
+        self.fade = np.exp(peak[1:] - peak[:-1])
+        self.share = np.exp(peak - log_s0)
+
+    def panels(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(panel, flags, own, cross, means over the root of the time's deaths, slope)."""
+        d, n_times = self.d, len(self.d)
+        for key, codes, sums, cells, weights in _flag_rows(batches, 1 + self.p):
+            flags = key * self.width + codes
+            at_risk = np.zeros((n_times, len(codes)))
+            at_risk[cells % n_times, np.searchsorted(codes, cells // n_times)] = weights
+            for i in range(n_times - 2, -1, -1):
+                at_risk[i] += at_risk[i + 1] * self.fade[i]
+            means = (at_risk * self.share[:, None]).T
+            slope = (self.dead[flags] - means @ d) / self.n - self.ridge * self.beta[flags]
+            yield key, flags, sums[:, 0] / self.n + self.ridge, sums[:, 1:] / self.n, means * np.sqrt(d / self.n), slope
+
+    def eliminated(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Products of (cross, means, slope) over ``own``, summed over the flags, by panels of rows."""
+        m = self.p + len(self.d) + 1
+        total = np.zeros((m, m))
+        for _, _, own, cross, means, slope in self.panels(batches):
+            z = np.column_stack([cross, means, slope])
+            total += z.T @ (z / own[:, None])
+        yield from _packed({first: (0.0, total[first : first + _PANEL]) for first in range(0, m, _PANEL)})
+
+    def moves(self, both: np.ndarray):
+        """Numbers of the flags and their moves, given those of the features and the unknowns of the times."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, flags, own, cross, means, slope in self.panels(batches):
+                yield pa.RecordBatch.from_arrays([pa.array(flags), pa.array((slope - cross @ both[: self.p] + means @ both[self.p :]) / own)], names=["flag", "move"])
+
+        return run
+
+
+def _inner_system(square: np.ndarray, means: np.ndarray, slope: np.ndarray, products: np.ndarray) -> np.ndarray:
+    """Moves of the features and the unknowns of the times, after the flags are eliminated."""
+    p = len(square)
+    left = means - products[p:-1, :p]
+    inner = np.block([[square - products[:p, :p], -left.T], [left, products[p:-1, p:-1] - np.eye(len(means))]])
+    known = np.concatenate([slope - products[:p, -1], -products[p:-1, -1]])
+    both = np.linalg.solve(inner, known)
+    return both + np.linalg.solve(inner, known - inner @ both)  # once refined
 
 
 def fit_cox(
@@ -285,7 +333,9 @@ def fit_cox(
     known time are in no risk set. What reaches the driver is one array of p + 1 numbers per grid time and one p x p matrix.
 
     ``wide`` names one column of numbers and the 0/1 features that they stand for: number k (null: none) sets the k-th.
-    These need no columns, and no p x p matrix: a row has one at most, so that theirs is a diagonal.
+    These need no columns, and no p x p matrix: a row has one at most, so that theirs is a diagonal. They are eliminated
+    first, by panels of flags in tasks, which leaves one unknown a feature and one a grid time; of each flag the driver
+    gets its counts and its move.
     """
     number, flag_names = wide or (None, [])
     place_of = {c: i for i, c in enumerate(features)}
@@ -314,18 +364,16 @@ def fit_cox(
         varies = high.max(axis=0) - low.min(axis=0) > 1e-12
         event_sum = at_events - d.sum() * centre
         # Flags stay 0 or 1 in all sums; their means only move the hazard, at the end.
-        share = np.zeros(n_flags)
+        share, dead = np.zeros(n_flags), np.zeros(n_flags)
         if n_flags:
-            dead = np.zeros(n_flags)
-            for r in design.filter("_c >= 0").groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.count_if("_d").alias("d")).collect():
-                share[r["_c"]], dead[r["_c"]] = r["n"] / n, r["d"]
+            found = design.filter("_c >= 0").groupBy("_c").agg(F.count(F.lit(1)).alias("n"), F.count_if("_d").alias("d")).toArrow()
+            share[found["_c"].to_numpy()], dead[found["_c"].to_numpy()] = found["n"].to_numpy() / n, found["d"].to_numpy()
             varies = np.concatenate([varies, (share > 0) & (share < 1)])
             event_sum = np.concatenate([event_sum, dead])
+        width = max(1, min(_FLAG_PANEL, _FLAG_CELLS // len(d)))
 
         def risk_sets(beta: np.ndarray):
-            sums = design.mapInArrow(_time_sums(centre, beta[:p], beta[p:]), _TIME_SUMS).repartition("key")
-            rows = sums.mapInArrow(_merge_times(1 + p, n_flags), _SUMS).collect()
-            table = {r["key"]: (r["top"], np.frombuffer(r["sums"])) for r in rows}
+            table = _sums_by_key(design, _time_sums(centre, beta[:p], beta[p:]))
             at = np.array(sorted(table))
             peak = np.array([table[t][0] for t in at.tolist()])
             from_here = np.stack([table[t][1] for t in at.tolist()])
@@ -337,30 +385,41 @@ def fit_cox(
             here = from_here[place]
             log_s0, mean = np.log(here[:, 0]) + top[place], here[:, 1:] / here[:, :1]
             fit = event_sum @ beta - (d * log_s0).sum()
-            return log_s0, mean, (fit - 0.5 * alpha * beta @ beta) / n
+            return log_s0, mean, (fit - 0.5 * alpha * beta @ beta) / n, top[place]
+
+        def newton_move(beta: np.ndarray, log_s0: np.ndarray, mean: np.ndarray, peak: np.ndarray) -> np.ndarray:
+            slope = (event_sum[:p] - d @ mean) / n - alpha / n * beta[:p]
+            log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
+            square = alpha / n * np.eye(p)
+            for first, (_, sums) in _sums_by_key(design, _gram(centre, beta[:p], beta[p:], death_at, log_hazard)).items():
+                square[first : first + _PANEL] += sums.reshape(-1, p) / n
+            means = mean * np.sqrt(d / n)[:, None]
+            if not n_flags:
+                return np.linalg.solve(square - means.T @ means, slope)
+            flags = design.mapInArrow(_flag_sums(centre, beta[:p], beta[p:], death_at, log_hazard, peak, width), _FLAG_SUMS)
+            flags = flags.repartition("key").sortWithinPartitions("key").mapInArrow(_merge_flags(1 + p), _FLAG_SUMS).persist()
+            try:
+                system = _FlagSystem(n, p, width, alpha / n, d, peak, log_s0, beta[p:], dead)
+                m = p + len(d) + 1
+                products = np.zeros((m, m))
+                for first, (_, sums) in _sums_by_key(flags, system.eliminated).items():
+                    products[first : first + _PANEL] = sums.reshape(-1, m)
+                both = _inner_system(square, means, slope, products)
+                moved = flags.mapInArrow(system.moves(both), "flag long, move double").toArrow()
+            finally:
+                flags.unpersist()
+            rest = np.zeros(n_flags)  # a flag of no row at risk stays
+            rest[moved["flag"].to_numpy()] = moved["move"].to_numpy()
+            return np.concatenate([both[:p], rest])
 
         beta = np.zeros(p + n_flags)
-        log_s0, mean, value = risk_sets(beta)
+        log_s0, mean, value, peak = risk_sets(beta)
         steps, converged = 0, False
         for steps in range(1, max_steps + 1):
-            slope = (event_sum - (d[:, None] * mean).sum(axis=0)) / n - alpha / n * beta
-            log_hazard = np.logaddexp.accumulate(np.log(d) - log_s0)
-            panels = _sums_by_key(design, _gram(centre, beta[:p], beta[p:], death_at, log_hazard))
-            second = np.zeros((p, p))
-            flags = np.zeros((n_flags, 1 + p))
-            for key, (_, sums) in panels.items():
-                if key >= 0:
-                    second[key : key + _PANEL] = sums.reshape(-1, p)
-                else:
-                    first = (-1 - key) * _FLAG_PANEL
-                    flags[first : first + _FLAG_PANEL] = sums.reshape(-1, 1 + p)
-            flags /= n
-            flags[:, 0] += alpha / n
-            move = _newton_move(second / n + alpha / n * np.eye(p), flags, mean * np.sqrt(d / n)[:, None], slope)
-            move = np.where(varies, move, 0.0)
+            move = np.where(varies, newton_move(beta, log_s0, mean, peak), 0.0)
             gain = 1.0
             for _ in range(20):  # halve until the objective does not fall
-                log_s0_new, mean_new, new = risk_sets(beta + gain * move)
+                log_s0_new, mean_new, new, peak_new = risk_sets(beta + gain * move)
                 if np.isfinite(new) and new >= value - 1e-12:
                     break
                 gain /= 2
@@ -368,7 +427,7 @@ def fit_cox(
                 break  # no shorter step helps: stay here, not converged
             beta = beta + gain * move
             converged = bool(abs(new - value) <= tolerance)
-            log_s0, mean, value = log_s0_new, mean_new, new
+            log_s0, mean, value, peak = log_s0_new, mean_new, new, peak_new
             if converged:
                 break
         # Centred as the risk is: exponents without the flags' means.

@@ -6,6 +6,7 @@ import json
 from dataclasses import asdict, dataclass, field, replace
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -33,7 +34,9 @@ RECENT_DAYS = 90
 TEST_SHARE = 0.2
 HORIZON_DAYS = (1, 2, 7)
 SCORED_ROWS = 20_000
+#: Labels of a column that become one-hot columns, and labels of all columns that a model may know; more are refused.
 MAX_CATEGORIES = 10_000
+MAX_LABELS = 5_000_000
 #: A category of more labels is joined to its codes, and one such category of a model needs no one-hot columns.
 WIDE_LABELS = 64
 
@@ -52,18 +55,14 @@ def category_tables(df: DataFrame, columns: list[str]) -> DataFrame:
 def category_labels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted labels of each column, for the model bundle.
 
-    A one-hot model needs one column per label, so a column with more than
-    ``MAX_CATEGORIES`` labels is refused rather than cut.
+    A model holds a number per label on the driver, so more than ``MAX_LABELS`` are refused rather than cut.
     """
     pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns]))
     labels = df.select(pairs).filter("label is not null").distinct()
-    rows = labels.limit(MAX_CATEGORIES * len(columns) + 1).collect()
-    if len(rows) > MAX_CATEGORIES * len(columns):
-        raise ValueError(f"more than {MAX_CATEGORIES} labels per column cannot be one-hot encoded")
-    out: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        out[r["column"]].append(r["label"])
-    return {c: sorted(v) for c, v in out.items()}
+    rows = labels.limit(MAX_LABELS + 1).toArrow()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels cannot be held by a model")
+    return {c: sorted(rows.filter(pc.equal(rows["column"], c))["label"].to_pylist()) for c in columns}
 
 
 def encode_categories(df: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
@@ -125,7 +124,8 @@ def flag_medians(df: DataFrame, labels: dict[str, list[str]]) -> dict[str, float
     if not any(labels.values()):
         return {}
     pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("label")) for c in labels]))
-    counted = {(r["column"], r["label"]): r["count"] for r in df.select(pairs).groupBy("column", "label").count().collect()}
+    counts = df.select(pairs).groupBy("column", "label").count().toArrow()
+    counted = dict(zip(zip(counts["column"].to_pylist(), counts["label"].to_pylist()), counts["count"].to_pylist()))
     n = sum(v for (c, _), v in counted.items() if c == next(iter(labels)))
     twice = {f"{c}_{v}": 2 * counted.get((c, v), 0) for c, values in labels.items() for v in values[1:]}
     return {name: 1.0 if k > n else 0.5 if k == n and n else 0.0 for name, k in twice.items()}
@@ -254,11 +254,13 @@ def train(
     plain_train, plain_test = time_split(rows)
     plain_train = recent(plain_train)
     used = {c: labels[c] for c in kept if c in labels}
+    many = wide_category(used, kept)
+    if any(len(v) > MAX_CATEGORIES for c, v in used.items() if c != many):
+        raise ValueError(f"more than {MAX_CATEGORIES} labels per column cannot be one-hot encoded")
     columns = hot_names(used, kept)
     plain = medians(plain_train, [c for c in columns if c in kept])
     # A flag is never unknown; its median follows from the label's count.
     fill = {**plain, **flag_medians(plain_train, used)}
-    many = wide_category(used, kept)
     flags = None
     if many is not None:
         flags = ("_flag", [f"{many}_{v}" for v in used[many][1:]])
