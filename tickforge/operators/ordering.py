@@ -111,7 +111,7 @@ def _quantiles(flat: DataFrame, wanted: dict[str, tuple[str, float]], small_rows
         sketch = flat.agg(*asked).first()
         brackets = {c: _disjoint(list(zip(sketch[c][::2], sketch[c][1::2]))) for c in known}
     places = {(c, q): q * (counted[c] - 1) for c in known for q in marks[c]}
-    ranks = {c: sorted({int(places[c, q] // 1) + k for q in marks[c] for k in (0, 1)} & set(range(counted[c]))) for c in known}
+    ranks = {c: sorted({min(int(places[c, q] // 1) + k, counted[c] - 1) for q in marks[c] for k in (0, 1)}) for c in known}
     at: dict[tuple[str, int], float] = {}
     while brackets:
         found = _at_ranks(flat, brackets, ranks, block_rows)
