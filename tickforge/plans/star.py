@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickforge.functions import run_id, run_timestamp
 from tickforge.functions.text import base_name
 from tickforge.operators.reference import extend_keys
 from tickforge.operators.reshape import two_sided_rows
-from tickforge.session import checkpoint_dir
+from tickforge.session import checkpoint_dir, shuffles_dropped
 from tickforge.sources.commits import commits, read_committed, write_batch
 from tickforge.sources.readers import unprocessed
 
@@ -34,14 +36,27 @@ def agent_keys(log: DataFrame, known: DataFrame, small_rows: int | None = None)
     return extend_keys(known, agents_seen(log), "agent_id", "agent_key", small_rows)
 
 
-def _with_keys(log: DataFrame, keys: DataFrame) -> DataFrame:
-    for side in (1, 2):
-        pair = keys.select(F.col("agent_id").alias(f"agent{side}_id"), F.col("agent_key").alias(f"agent{side}_key"))
-        log = log.join(pair, f"agent{side}_id")
+def _with_keys(log: DataFrame, keys: DataFrame | dict[int, DataFrame]) -> DataFrame:
+    """Agent keys in place of agent ids. ``keys`` may be given by side, in the order of the joins."""
+    for side, known in (keys if isinstance(keys, dict) else {1: keys, 2: keys}).items():
+        pair = known.select(F.col("agent_id").alias(f"agent{side}_id"), F.col("agent_key").alias(f"agent{side}_key"))
+        log = log.join(pair, f"agent{side}_id").drop(f"agent{side}_id")
     return log
 
 
-def turn_facts(log: DataFrame, keys: DataFrame) -> DataFrame:
+def _keys_by_side(seen: DataFrame, keys: DataFrame) -> dict[int, DataFrame]:
+    """Keys of the agents of each side, the smaller side first; counted ones of at most ``BROADCAST_KEYS`` are broadcast,
+    so that the lines are not dealt out by them."""
+    rows = seen.groupBy("side").agg(F.count_distinct("agent_id").alias("n")).collect()
+    n = {1: 0, 2: 0} | {r["side"]: r["n"] for r in rows}
+    out = {}
+    for side in sorted(n, key=n.get):
+        own = keys.join(seen.filter(F.col("side") == side).select("agent_id").distinct(), "agent_id", "left_semi")
+        out[side] = F.broadcast(own) if n[side] <= BROADCAST_KEYS else keys
+    return out
+
+
+def turn_facts(log: DataFrame, keys: DataFrame | dict[int, DataFrame]) -> DataFrame:
     """Two rows per turn, one from each agent's side.
 
     Only what a fact needs travels to the joins: the run's name, of which its id is made afterwards, and the parsed instant.
@@ -76,7 +91,7 @@ def turn_facts(log: DataFrame, keys: DataFrame) -> DataFrame:
     )
 
 
-def match_dimension(log: DataFrame, keys: DataFrame, sequence: Column) -> DataFrame:
+def match_dimension(log: DataFrame, keys: DataFrame | dict[int, DataFrame], sequence: Column) -> DataFrame:
     """One row per match: agents of its last line and its largest turn.
 
     Run fields are derived after the grouping, once per match instead of once per line.
@@ -102,6 +117,8 @@ def _named_agents(seen: DataFrame, keys: DataFrame) -> DataFrame:
     return _run_fields(seen.join(keys, "agent_id")).select("run_id", "agent_key", "agent_id")
 
 
+#: Agents of a side, counted, whose keys are broadcast (some 30 bytes each).
+BROADCAST_KEYS = 500_000
 KEYS = T.StructType([T.StructField("agent_id", T.StringType()), T.StructField("agent_key", T.IntegerType())])
 
 
@@ -111,23 +128,38 @@ def write_runs(spark: SparkSession, log: DataFrame, root: str, sequence: Column,
     Keys of new agents are stored in the same commit, so an agent keeps its key over all runs, and a second start
     finds every run done and changes nothing.
     """
-    checkpoint_dir(spark)
+    with shuffles_dropped(spark):
+        return _write_runs(spark, log, root, sequence, small_rows)
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table of the checkpoint folder: a tenth of the size of a checkpoint."""
+    place = f"{checkpoint_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(place)
+    return rows.sparkSession.read.schema(rows.schema).parquet(place)
+
+
+def _write_runs(spark: SparkSession, log: DataFrame, root: str, sequence: Column, small_rows: int | None) -> int:
     done = commits(spark, root, "run").select(F.col("item").alias("run_id"))
     # The id is a digest of the name: made once a run, not once a line.
     named = log.select("run_name").distinct().withColumn("run_id", run_id(F.col("run_name")))
-    runs = unprocessed(named, done).checkpoint()
+    runs = _stored(unprocessed(named, done), "runs")
     count = runs.count()
     if not count:
         return 0
-    fresh = log.join(runs.select("run_name"), "run_name", "left_semi")
-    # Agents by run serve the new keys and the agent table: found once.
-    seen = run_agents(fresh).checkpoint()
+    names = runs.select("run_name")
+    fresh = log.join(F.broadcast(names) if count <= BROADCAST_KEYS else names, "run_name", "left_semi")
+    # Agents by run and side serve the new keys, the agent table and the joins: found once.
+    sides = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"agent{s}_id").alias("agent_id")) for s in (1, 2)])).alias("_side")
+    seen = _stored(fresh.select("run_name", sides).select("run_name", "_side.*").distinct(), "agents-seen")
     known = read_committed(spark, root, "agent_keys", KEYS)
-    keys = extend_keys(known, seen, "agent_id", "agent_key", small_rows).select("agent_id", F.col("agent_key").cast("int").alias("agent_key")).checkpoint()
+    keys = extend_keys(known, seen, "agent_id", "agent_key", small_rows).select("agent_id", F.col("agent_key").cast("int").alias("agent_key"))
+    keys = _stored(keys, "agent-keys")
+    by_side = _keys_by_side(seen, keys)
     tables = {
-        "fact_turn_play": turn_facts(fresh, keys),
-        "dim_match": match_dimension(fresh, keys, sequence),
-        "dim_agent": _named_agents(seen, keys),
+        "fact_turn_play": turn_facts(fresh, by_side),
+        "dim_match": match_dimension(fresh, by_side, sequence),
+        "dim_agent": _named_agents(seen.select("run_name", "agent_id").distinct(), keys),
         "agent_keys": keys.join(known.select("agent_id"), "agent_id", "left_anti"),
     }
     by_run = {name: ["run_id"] for name in ("fact_turn_play", "dim_match", "dim_agent")}

@@ -27,7 +27,7 @@ def write_batch(spark: SparkSession, root: str, tables: dict[str, DataFrame], it
     """Writes all ``tables``, then commits them with ``items`` (kind, item). Returns the batch's name."""
     batch = f"b{uuid.uuid4().hex}"
     for name, rows in tables.items():
-        writer = rows.write.mode("errorifexists")
+        writer = rows.write.mode("errorifexists").option("compression", "zstd")
         by = (partition_by or {}).get(name)
         (writer.partitionBy(*by) if by else writer).parquet(f"{root}/{name}/batch={batch}")
     done = items.select(F.lit(batch).alias("batch"), F.col("kind").cast("string").alias("kind"), F.col("item").cast("string").alias("item"))
