@@ -339,7 +339,8 @@ def fit_cox(
     """
     number, flag_names = wide or (None, [])
     place_of = {c: i for i, c in enumerate(features)}
-    names = [c for c in features if c not in set(flag_names)]
+    flagged = set(flag_names)
+    names = [c for c in features if c not in flagged]
     p, n_flags = len(names), len(flag_names)
     design = df.select(
         F.col(time).cast("long").alias("_t"),
